@@ -1,0 +1,60 @@
+"""Run a query on Spark and its SQL on DuckDB, and compare types, counts and values."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+# Spark type name -> DuckDB type name, for the types in use.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+        )
+    return connection
+
+
+def _key(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return (0, "")
+    if isinstance(value, dt.datetime):
+        return (1, value.isoformat())
+    return (1, repr(value))
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_key(row[i]) for i in order) for row in rows)
+
+
+def differences(df, connection, sql) -> str | None:
+    """None if both sides agree, else what differs."""
+    relation = connection.sql(sql)
+    ours = {field.name: field.dataType.simpleString() for field in df.schema.fields}
+    theirs = dict(zip(relation.columns, map(str, relation.types), strict=True))
+    if {name: TYPES.get(kind, kind) for name, kind in ours.items()} != theirs:
+        return f"schema: {ours} against {theirs}"
+    left = canonical(df.columns, [tuple(row) for row in df.collect()])
+    right = canonical(relation.columns, relation.fetchall())
+    if len(left) != len(right):
+        return f"rows: {len(left)} against {len(right)}"
+    wrong = [pair for pair in zip(left, right, strict=True) if pair[0] != pair[1]]
+    return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else None
