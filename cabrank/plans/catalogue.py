@@ -217,8 +217,11 @@ def ctas_partitioned_except(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three datasets, each landed raw with its own time column and published by day."""
     root, database = fresh_dir(spark, "lake"), fresh_database(spark)
-    stand_ins = {"yellow": ("events", "ts"), "green": ("orders", "o_orderdate"),
-                 "fhv": ("lineitem", "l_shipdate")}
+    stand_ins = {
+        "yellow": ("events", "ts"),
+        "green": ("orders", "o_orderdate"),
+        "fhv": ("events", "ts"),
+    }
     sources = {}
     for name, (source, time) in stand_ins.items():
         raw = table(spark, sf_dir, source).withColumnRenamed(time, REGISTRY[name].event_time)

@@ -94,8 +94,8 @@ ORACLE: dict[str, str] = {
         SELECT 'green', CAST(o_orderdate AS DATE), count(*)
         FROM orders GROUP BY CAST(o_orderdate AS DATE)
         UNION ALL
-        SELECT 'fhv', CAST(l_shipdate AS DATE), count(*)
-        FROM lineitem GROUP BY CAST(l_shipdate AS DATE)
+        SELECT 'fhv', CAST(ts AS DATE), count(*)
+        FROM events GROUP BY CAST(ts AS DATE)
     """,
     "monthly_backfill": _BY_MONTH,
     "monthly_landing_stream": _BY_MONTH,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from cabrank.operators.aggregates import count_by
 from cabrank.operators.filters import DAY_COLUMN
-from cabrank.sinks.layout import by_group
+from cabrank.sinks.layout import all_cores, by_group
 from cabrank.sinks.tables import publish_by_day
 from cabrank.sources.months import MONTH_COLUMN, month_range, read_months
 from cabrank.specs import REGISTRY, DatasetSpec
@@ -39,13 +39,14 @@ def backfill(
     seen = Observation()
     label = F.col(MONTH_COLUMN)
     trips = trips.observe(seen, *[F.count(F.when(label == m, 1)).alias(m) for m in months])
-    (
-        by_group(trips, MONTH_COLUMN)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH_COLUMN)
-        .parquet(target)
-    )
+    with all_cores(spark):
+        (
+            by_group(trips, MONTH_COLUMN)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH_COLUMN)
+            .parquet(target)
+        )
     for month in (m for m, rows in seen.get.items() if not rows):
         empty = trips.drop(MONTH_COLUMN).limit(0)
         empty.write.mode("overwrite").parquet(f"{target}/{MONTH_COLUMN}={month}")

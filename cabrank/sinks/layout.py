@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _TIE = "_tie"
+_MERGE_BELOW = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+@contextmanager
+def all_cores(spark: SparkSession) -> Iterator[None]:
+    """For writes into many directories, whose time goes into opening files rather than bytes.
+
+    AQE would merge a shuffle of less than a megabyte per partition into few tasks, which then
+    open thousands of files one after another. Larger shuffles are not affected.
+    """
+    before = spark.conf.get(_MERGE_BELOW)
+    spark.conf.set(_MERGE_BELOW, "16k")
+    try:
+        yield
+    finally:
+        spark.conf.set(_MERGE_BELOW, before)
 
 
 def by_group(df: DataFrame, *columns: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cabrank.functions.temporal import day_of
 from cabrank.operators.filters import DAY_COLUMN
 from cabrank.quality import require_key, require_row_count
-from cabrank.sinks.layout import by_group, by_range
+from cabrank.sinks.layout import all_cores, by_group, by_range
 
 
 def replace_table(df: DataFrame, table: str) -> DataFrame:
@@ -62,8 +62,11 @@ def publish_by_day(
     types. Rows without an event time go to the NULL partition.
     """
     kept = df.drop(*drop).withColumn(day_column, day_of(event_time))
-    by_group(kept, day_column).write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
-    return df.sparkSession.table(table)
+    spark = df.sparkSession
+    with all_cores(spark):
+        days = by_group(kept, day_column)
+        days.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
+    return spark.table(table)
 
 
 def publish_clustered(
@@ -81,6 +84,8 @@ def publish_clustered(
     range, so a value with a third of the rows spans several files, where a bucket would not.
     """
     kept = df.withColumn(day_column, day_of(event_time))
-    laid_out = by_range(kept, day_column, cluster_by, event_time, partitions=partitions)
-    laid_out.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
-    return df.sparkSession.table(table)
+    spark = df.sparkSession
+    with all_cores(spark):
+        laid_out = by_range(kept, day_column, cluster_by, event_time, partitions=partitions)
+        laid_out.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
+    return spark.table(table)
