@@ -24,7 +24,10 @@ def max_by_day(
 
 
 def mean_by(df: DataFrame, *keys: str, amount: str, name: str) -> DataFrame:
-    """Average money amount of each group, exact and rounded to cents. NULL amounts do not count."""
+    """Average money amount of each group, rounded to cents; NULL amounts do not count.
+
+    Amounts are taken as whole cents, so the average is exact whatever the order of the rows.
+    """
     cents = to_cents(amount)
     return (
         df.groupBy(*keys)

@@ -19,7 +19,7 @@ from cabrank.plans import pipelines, trips
 from cabrank.plans.standin import UNKNOWN, table, trips_ev, zone_trips, zones
 from cabrank.quality import key_violations, loaded_counts, require_key, require_row_count
 from cabrank.session import fresh_database, fresh_dir
-from cabrank.sinks import lake, ordinal, tables
+from cabrank.sinks import lake, layout, ordinal, tables
 from cabrank.sources import csv, months
 from cabrank.sources.tables import external_table, read_lake, scan_table
 from cabrank.specs import REGISTRY, DatasetSpec
@@ -55,9 +55,12 @@ def _monthly_csv(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType, d
     """Orders as one CSV directory per month, with the first and last day in them."""
     orders = table(spark, sf_dir, "orders")
     label = F.concat(temporal.month_label("o_orderdate"), F.lit(".csv"))
-    root = csv.write_csv(
-        orders.withColumn("tripdata", label), fresh_dir(spark, "months"), "tripdata"
-    )
+    with layout.all_cores(spark):
+        root = csv.write_csv(
+            layout.by_group(orders.withColumn("tripdata", label), "tripdata"),
+            fresh_dir(spark, "months"),
+            "tripdata",
+        )
     day = temporal.day_of("o_orderdate")
     first, last = orders.agg(F.min(day), F.max(day)).head()
     return root, orders.schema, first, last
@@ -82,7 +85,7 @@ def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_csv_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = _staged_csv(spark, sf_dir, "lineitem")
     landed = lake.land_raw(
-        csv.read_csv(spark, path, schema), fresh_dir(spark, "lake"), "lineitem", 100_000
+        csv.read_csv(spark, path, schema), fresh_dir(spark, "lake"), "lineitem", 5_000_000
     )
     return (
         read_lake(spark, landed)
@@ -115,9 +118,7 @@ def external_table_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     for half in _first_half(table(spark, sf_dir, "events"), "ts", DAY):
         half.write.mode("append").parquet(prefix)
     name = f"{fresh_database(spark)}.yellow_tripdata_external_table"
-    external_table(spark, name, prefix)
-    read_lake(spark, f"{prefix}/*.parquet").createOrReplaceTempView("yellow_tripdata_glob")
-    return spark.table(name)
+    return external_table(spark, name, prefix)
 
 
 @query
@@ -215,22 +216,17 @@ def ctas_partitioned_except(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def registry_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three datasets, each landed raw with its own time column and published by day."""
+    """Three datasets, each with its own time column: landed, made external, published by day."""
     root, database = fresh_dir(spark, "lake"), fresh_database(spark)
     stand_ins = {
         "yellow": ("events", "ts"),
         "green": ("orders", "o_orderdate"),
         "fhv": ("events", "ts"),
     }
-    sources = {}
     for name, (source, time) in stand_ins.items():
         raw = table(spark, sf_dir, source).withColumnRenamed(time, REGISTRY[name].event_time)
-        landed = lake.land_raw(
-            raw.withColumn("ehail_fee", F.lit(0.0)) if name == "green" else raw,
-            root,
-            f"{name}_tripdata",
-        )
-        sources[name] = external_table(spark, f"{database}.{name}_external_table", landed)
+        raw.withColumn("ehail_fee", F.lit(0.0)).write.parquet(f"{root}/{name}")
+    sources = pipelines.lake_sources(spark, root, database)
     return pipelines.publish_registry(spark, sources, database)
 
 
@@ -281,7 +277,8 @@ def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips_by_dropoff, name, "dropoff_datetime", "dispatching_base_num", "dropoff_date"
     )
     wanted = filters.between_days(clustered, "dropoff_datetime", FIRST, LAST, "dropoff_date")
-    return ranking.sort_asc(wanted, "dispatching_base_num")
+    # The later keys let the sort split a base that has many of the rows.
+    return ranking.sort_asc(wanted, "dispatching_base_num", "dropoff_datetime", "event_id")
 
 
 # Projections

@@ -1,4 +1,4 @@
-"""Load pipelines: month ranges into the lake, and the lake into day-partitioned tables."""
+"""Load pipelines: CSV into tables, months into the lake, the lake into day-partitioned tables."""
 
 from __future__ import annotations
 
@@ -13,11 +13,40 @@ from pyspark.sql import types as T
 from cabrank.operators.aggregates import count_by
 from cabrank.operators.filters import DAY_COLUMN
 from cabrank.sinks.layout import all_cores, by_group
-from cabrank.sinks.tables import publish_by_day
+from cabrank.session import fresh_dir
+from cabrank.sinks.ordinal import load_csv_with_index
+from cabrank.sinks.tables import load_table, publish_by_day, replace_dimension
+from cabrank.sources.csv import header_schema, read_csv_inferred, read_csv_typed
 from cabrank.sources.months import MONTH_COLUMN, month_range, read_months
+from cabrank.sources.tables import external_table
 from cabrank.specs import REGISTRY, DatasetSpec
 
 
+def load_zones(spark: SparkSession, source: str, table: str = "zone_data") -> DataFrame:
+    """Replace the zone dimension by a CSV file, whose ``LocationID`` must be a key."""
+    return replace_dimension(read_csv_inferred(spark, source), table, "LocationID")
+
+
+def load_trips(
+    spark: SparkSession,
+    source: str,
+    table: str = "yellow_taxi_data",
+    spec: DatasetSpec = REGISTRY["yellow"],
+    row_numbers: bool = True,
+) -> int:
+    """Replace a trip table by a CSV file; returns the checked row count.
+
+    ``row_numbers`` adds the position of each row in the source as column ``index``, at the cost
+    of landing the rows once before.
+    """
+    if row_numbers:
+        schema = header_schema(spark, source, spec.types)
+        trips = load_csv_with_index(spark, source, schema, fresh_dir(spark, table))
+    else:
+        trips = read_csv_typed(spark, source, spec.types)
+    return load_table(spark, [trips], table)
+
+
 def backfill(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -53,6 +82,24 @@ def backfill(
     return target
 
 
+def lake_sources(
+    spark: SparkSession,
+    lake: str,
+    database: str,
+    registry: Mapping[str, DatasetSpec] = REGISTRY,
+) -> dict[str, DataFrame]:
+    """External tables ``<database>.<dataset>_tripdata_external_table`` over ``<lake>/<dataset>``.
+
+    The month that only the directories know is left out.
+    """
+    return {
+        name: external_table(
+            spark, f"{database}.{name}_tripdata_external_table", f"{lake.rstrip('/')}/{name}"
+        ).drop(MONTH_COLUMN)
+        for name in registry
+    }
+
+
 def publish_registry(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],

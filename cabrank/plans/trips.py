@@ -76,8 +76,8 @@ def top_destination(
     named = join_dimension(
         top(counts, "trip_count", DROPOFF_KEY, k=k), zones, DROPOFF_KEY, dropoff_zone="Zone"
     )
-    ordered = named.orderBy(F.desc("trip_count"), F.asc(DROPOFF_KEY))
-    return ordered.select("dropoff_zone", "trip_count")
+    # Names are unique per id, so this limit only turns a global sort into a merge of k rows.
+    return top(named, "trip_count", DROPOFF_KEY, k=k).select("dropoff_zone", "trip_count")
 
 
 def priciest_pair(
@@ -91,8 +91,9 @@ def priciest_pair(
     placed = with_known(with_known(placed, zones, PICKUP_KEY), zones, DROPOFF_KEY)
     fares = mean_by(placed, PICKUP_KEY, DROPOFF_KEY, amount="total_amount", name="average_fare")
     named = join_both_roles(top(fares, "average_fare", PICKUP_KEY, DROPOFF_KEY, k=k), zones)
-    ordered = named.orderBy(F.desc("average_fare"), F.asc(PICKUP_KEY), F.asc(DROPOFF_KEY))
-    return ordered.select("pickup_zone", "dropoff_zone", "average_fare")
+    return top(named, "average_fare", PICKUP_KEY, DROPOFF_KEY, k=k).select(
+        "pickup_zone", "dropoff_zone", "average_fare"
+    )
 
 
 def trips_in_range(

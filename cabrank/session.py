@@ -42,6 +42,9 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        # Day-partitioned tables have thousands of directories: list them in a few hundred tasks,
+        # not in one each.
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     }
     if input_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))

@@ -32,8 +32,8 @@ def by_group(df: DataFrame, *columns: str) -> DataFrame:
 
     A rebalance rather than a plain hash repartition: AQE splits a group that exceeds the advisory
     partition size over several tasks, so one day with a third of all rows is written in parallel,
-    and it merges small groups. Without AQE the rows are range-partitioned, which splits such a
-    group as well.
+    and it merges small groups. Without AQE the rows are range-partitioned (``by_range``), which
+    splits such a group as well.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         return by_range(df, *columns)
@@ -45,7 +45,8 @@ def by_range(df: DataFrame, *columns: str, partitions: int | None = None) -> Dat
 
     The row's position in its input partition is the last range key: rows that are equal in all
     columns still spread over several partitions. ``df`` has to be read from files or a table,
-    whose partitions come out the same when a lost task is run again.
+    whose partitions come out the same when a lost task is run again. Finding the range bounds
+    takes a sampling pass over ``df`` first.
     """
     keys = [*columns, _TIE]
     tied = df.withColumn(_TIE, F.monotonically_increasing_id())

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cabrank.functions.temporal import day_of
 from cabrank.operators.filters import DAY_COLUMN
@@ -13,7 +14,7 @@ from cabrank.sinks.layout import all_cores, by_group, by_range
 
 
 def replace_table(df: DataFrame, table: str) -> DataFrame:
-    """Create the table, or replace it whole."""
+    """Create the table, or replace it whole. The old rows are gone before the new ones are in."""
     df.write.mode("overwrite").saveAsTable(table)
     return df.sparkSession.table(table)
 
@@ -38,14 +39,16 @@ def load_table(spark: SparkSession, batches: Iterable[DataFrame], table: str) ->
     """Replace the table with the concatenation of the batches; returns the checked row count.
 
     Each batch is one job over all executors. Loading everything as one batch is the fast way;
-    several serve sources that become available one after another.
+    several serve sources that become available one after another. The rows are counted while
+    they are written, not by reading the source again.
     """
     expected = 0
     for number, batch in enumerate(batches):
         if number == 0:
             create_empty(batch, table)
-        append_table(batch, table)
-        expected += batch.count()
+        written = Observation()
+        append_table(batch.observe(written, F.count(F.lit(1)).alias("rows")), table)
+        expected += written.get["rows"]
     return require_row_count(spark, table, expected)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DIALECT = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+DIALECT = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
 
 def require_csv(*paths: str) -> None:
@@ -33,7 +33,7 @@ def read_csv(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     require_csv(*paths)
-    return spark.read.schema(schema).options(**_DIALECT, enforceSchema=False).csv(paths)
+    return spark.read.schema(schema).options(**DIALECT, enforceSchema=False).csv(paths)
 
 
 def header_schema(
@@ -42,7 +42,7 @@ def header_schema(
     """Schema from the header line: named columns typed, all others read as strings."""
     require_csv(path)
     known = {name.lower(): dtype for name, dtype in types.items()}
-    header = spark.read.options(**_DIALECT).csv(path).columns
+    header = spark.read.options(**DIALECT).csv(path).columns
     return T.StructType(
         [T.StructField(name, known.get(name.lower(), T.StringType())) for name in header]
     )
@@ -64,14 +64,15 @@ def read_csv_inferred(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     require_csv(*paths)
-    df = spark.read.options(**_DIALECT, inferSchema=True).csv(paths)
+    df = spark.read.options(**DIALECT, inferSchema=True).csv(paths)
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
 def write_csv(df: DataFrame, path: str, *partition_by: str) -> str:
-    """Write in the same dialect, values unchanged."""
-    require_csv(path) if not partition_by else None
+    """Write in the same dialect, values unchanged. Partition directories need no ``.csv`` path."""
+    if not partition_by:
+        require_csv(path)
     (
         df.write.partitionBy(*partition_by)
         .options(

@@ -17,9 +17,13 @@ def external_table(spark: SparkSession, table: str, location: str) -> DataFrame:
     """Publish the Parquet files under ``location`` as a table, without copying them.
 
     The schema is detected. ``key=value`` directories become partition columns and are registered
-    in the catalog, so filters on them list only the matching directories.
+    in the catalog, so filters on them list only the matching directories. An earlier external
+    table of the name is replaced; one that owns its data is not touched.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType != "EXTERNAL":
+            raise ValueError(f"{table} is not an external table")
+        spark.sql(f"DROP TABLE {table}")
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from cabrank.sources.csv import _DIALECT
+from cabrank.sources.csv import DIALECT
 from cabrank.sources.months import MONTH_COLUMN, month_of_file
 
 
@@ -24,7 +24,7 @@ def land_new_files(
     """
     arrived = (
         spark.readStream.schema(schema)
-        .options(**_DIALECT, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+        .options(**DIALECT, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
         .csv(source)
         .withColumn(MONTH_COLUMN, month_of_file())
     )
