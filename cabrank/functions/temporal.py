@@ -34,3 +34,8 @@ def month_of(day: Column | str) -> Column:
 def month_label(time: Column | str) -> Column:
     """``yyyy-MM`` of a timestamp, as used in monthly file names."""
     return F.date_format(time, "yyyy-MM")
+
+
+def month_number(label: str) -> Column:
+    """Months since year 0 of a ``yyyy-MM`` label."""
+    return F.substring(label, 1, 4).cast("int") * 12 + F.substring(label, 6, 2).cast("int")

@@ -55,7 +55,7 @@ def _monthly_csv(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType, d
     """Orders as one CSV directory per month, with the first and last day in them."""
     orders = table(spark, sf_dir, "orders")
     label = F.concat(temporal.month_label("o_orderdate"), F.lit(".csv"))
-    with layout.all_cores(spark):
+    with layout.many_directories(spark):
         root = csv.write_csv(
             layout.by_group(orders.withColumn("tripdata", label), "tripdata"),
             fresh_dir(spark, "months"),

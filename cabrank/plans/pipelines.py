@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cabrank.functions.temporal import month_number
 from cabrank.operators.aggregates import count_by
 from cabrank.operators.filters import DAY_COLUMN
-from cabrank.sinks.layout import all_cores, by_group
+from cabrank.sinks.layout import by_group, many_directories
 from cabrank.session import fresh_dir
 from cabrank.sinks.ordinal import load_csv_with_index
 from cabrank.sinks.tables import load_table, publish_by_day, replace_dimension
@@ -59,24 +60,26 @@ def backfill(
     """Load the monthly CSV files of a range into ``<lake>/<dataset>/month=…``; returns the path.
 
     The whole range is one job. It replaces the months in the range and leaves all others alone,
-    so any range can be run again. Rows are observed on the way through the write: a month whose
+    so any range can be run again. The months that come through the write are observed: one whose
     file has become empty writes no partition and has its old one emptied.
     """
     target = f"{lake.rstrip('/')}/{spec.name}"
     months = month_range(first, last)
     trips = read_months(spark, spec, root, first, last, schema)
     seen = Observation()
-    label = F.col(MONTH_COLUMN)
-    trips = trips.observe(seen, *[F.count(F.when(label == m, 1)).alias(m) for m in months])
-    with all_cores(spark):
+    position = month_number(MONTH_COLUMN) - F.lit(first.year * 12 + first.month)
+    written = F.bitmap_construct_agg(position).alias("months")
+    with many_directories(spark):
         (
             by_group(trips, MONTH_COLUMN)
+            .observe(seen, written)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(MONTH_COLUMN)
             .parquet(target)
         )
-    for month in (m for m, rows in seen.get.items() if not rows):
+    bitmap = int.from_bytes(seen.get["months"], "little")
+    for month in (m for i, m in enumerate(months) if not bitmap >> i & 1):
         empty = trips.drop(MONTH_COLUMN).limit(0)
         empty.write.mode("overwrite").parquet(f"{target}/{MONTH_COLUMN}={month}")
     return target

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cabrank.functions.temporal import month_label
-from cabrank.sinks.layout import all_cores, by_group
+from cabrank.sinks.layout import by_group, many_directories
 from cabrank.sources.csv import read_csv, read_csv_inferred, require_csv
 from cabrank.sources.months import MONTH_COLUMN
 
@@ -49,7 +49,7 @@ def regroup_raw(spark: SparkSession, lake: str, dataset: str, event_time: str) -
     raw = spark.read.parquet(f"{lake}/raw/{dataset}_tripdata*.parquet")
     monthly = raw.withColumn(MONTH_COLUMN, month_label(event_time))
     target = f"{lake}/{dataset}"
-    with all_cores(spark):
+    with many_directories(spark):
         grouped = by_group(monthly, MONTH_COLUMN)
         grouped.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(target)
     return target

@@ -9,22 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _TIE = "_tie"
-_MERGE_BELOW = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
+# AQE merges a shuffle of less than a megabyte per partition into few tasks, which would then
+# open thousands of files one after another; larger shuffles are not affected. And Spark lists
+# the written directories in one task each.
+_MANY_DIRECTORIES = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
+}
 
-@contextmanager
-def all_cores(spark: SparkSession) -> Iterator[None]:
-    """For writes into many directories, whose time goes into opening files rather than bytes.
 
-    AQE would merge a shuffle of less than a megabyte per partition into few tasks, which then
-    open thousands of files one after another. Larger shuffles are not affected.
-    """
-    before = spark.conf.get(_MERGE_BELOW)
-    spark.conf.set(_MERGE_BELOW, "16k")
+@contextmanager
+def many_directories(spark: SparkSession) -> Iterator[None]:
+    """Settings for a write into many directories, which is bound by files rather than bytes."""
+    before = {key: spark.conf.get(key) for key in _MANY_DIRECTORIES}
+    for key, value in _MANY_DIRECTORIES.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_MERGE_BELOW, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def by_group(df: DataFrame, *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cabrank.functions.temporal import day_of
 from cabrank.operators.filters import DAY_COLUMN
 from cabrank.quality import require_key, require_row_count
-from cabrank.sinks.layout import all_cores, by_group, by_range
+from cabrank.sinks.layout import by_group, by_range, many_directories
 
 
 def replace_table(df: DataFrame, table: str) -> DataFrame:
@@ -66,7 +66,7 @@ def publish_by_day(
     """
     kept = df.drop(*drop).withColumn(day_column, day_of(event_time))
     spark = df.sparkSession
-    with all_cores(spark):
+    with many_directories(spark):
         days = by_group(kept, day_column)
         days.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
     return spark.table(table)
@@ -88,7 +88,7 @@ def publish_clustered(
     """
     kept = df.withColumn(day_column, day_of(event_time))
     spark = df.sparkSession
-    with all_cores(spark):
+    with many_directories(spark):
         laid_out = by_range(kept, day_column, cluster_by, event_time, partitions=partitions)
         laid_out.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
     return spark.table(table)

@@ -4,8 +4,10 @@ import datetime as dt
 import pathlib
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from cabrank.operators.filters import between_days
 from cabrank.plans import pipelines
@@ -137,6 +139,8 @@ def test_backfill_replaces_only_its_months(spark, tmp_path):
     again = run(dt.date(2021, 2, 1), dt.date(2021, 3, 31))
     assert ids(again) == [1, 2, 6]
     assert dict(again.groupBy("month").count().collect()) == {"2021-01": 2, "2021-03": 1}
+    month_file(root, "2021-03")
+    assert ids(run(dt.date(2021, 2, 1), dt.date(2021, 3, 31))) == [1, 2]
 
 
 def test_stream_lands_each_file_once(spark, tmp_path):
@@ -231,8 +235,8 @@ def test_glob_with_conflicting_types(spark, tmp_path):
 # Layouts
 
 
-@pytest.mark.parametrize("adaptive", ["true", "false"])
-def test_hot_day_is_written_by_several_tasks(spark, tmp_path, adaptive):
+@pytest.mark.parametrize("adaptive, observed", [("true", 0), ("true", 1), ("false", 0)])
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path, adaptive, observed):
     hot = F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 50)
     source = str(tmp_path / "source")
     spark.range(200_000).withColumn("noise", F.rand(1)).withColumn("day", hot).repartition(
@@ -245,7 +249,10 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path, adaptive):
         setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k"),
         setting(spark, "spark.sql.files.maxPartitionBytes", "256k"),
     ):
-        layout.by_group(df, "day").write.partitionBy("day").parquet(target)
+        laid_out = layout.by_group(df, "day")
+        if observed:
+            laid_out = laid_out.observe(Observation(), F.count(F.lit(1)).alias("n"))
+        laid_out.write.partitionBy("day").parquet(target)
     written = spark.read.parquet(target)
     sizes = (
         written.where("day = 1").groupBy(F.col("_metadata.file_path")).count().toPandas()["count"]
@@ -279,6 +286,9 @@ def test_clustering_splits_a_hot_value_and_narrows_files(spark, tmp_path):
     assert sum(row["hot"] > 0 for row in summary) >= 3
     assert max(row["n"] for row in summary) < 20_000 / 4
     assert max(row["bases"] for row in summary) < 20
+    in_file = Window.partitionBy("_metadata.file_path").orderBy("_metadata.row_index")
+    steps = clustered.select("base", F.lag("base").over(in_file).alias("before"))
+    assert steps.where("base < before").count() == 0
     assert ids(clustered) == list(range(20_000))
 
 

@@ -5,9 +5,10 @@ import datetime as dt
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from cabrank.operators import filters
+from cabrank.operators import filters, joins
 from cabrank.plans import trips
 from cabrank.plans.catalogue import FIRST, LAST, PICKUP_ZONE, UNKNOWN, YEAR
 from cabrank.plans.standin import table, trips_ev, zone_trips, zones
@@ -18,21 +19,21 @@ from conftest import TESTDATA
 SF_DIR = f"{TESTDATA}/sf0.01"
 
 
-def plan(df) -> str:
+def plan(df, mode="formatted") -> str:
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
-        df.explain("formatted")
+        df.explain(mode)
     return text.getvalue()
 
 
 @contextlib.contextmanager
 def setting(spark, key, value):
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def test_day_filter_reaches_the_scan(spark):
@@ -78,6 +79,28 @@ def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark):
         assert question().collect() == expected
 
 
+def test_hot_zone_is_split_where_the_dimension_is_too_large_to_broadcast(spark):
+    lines = table(spark, SF_DIR, "lineitem")
+    hot = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_suppkey") % 25).cast("int")
+    # A hot partition is split between map tasks, so there have to be several.
+    facts = lines.repartition(16).select("*", hot.alias("PULocationID"))
+    with (
+        setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"),
+        setting(spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1"),
+        setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k"),
+        setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k"),
+        setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2"),
+    ):
+        by_zone = zones(spark, SF_DIR)
+        for joined in (
+            joins.join_dimension(facts, by_zone, "PULocationID", pickup_zone="Zone"),
+            joins.with_known(facts, by_zone, "PULocationID"),
+        ):
+            counted = joined.groupBy("l_linenumber").count()
+            assert sum(row["count"] for row in counted.collect()) == lines.count()
+            assert "AQEShuffleRead coalesced and skewed" in plan(counted, "simple")
+
+
 QUESTIONS = [
     "trips_on_day",
     "daily_max_tip",
