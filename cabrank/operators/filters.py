@@ -1,8 +1,8 @@
 """Row filters.
 
 Day and month filters are written as half-open ranges on the raw timestamp, so that they reach the
-Parquet scan. Where the table also has a day partition column, the same range is applied to it:
-a filter on the timestamp alone does not prune directories.
+Parquet scan. A filter on the timestamp alone does not prune the directories of a day-partitioned
+table, so the same range is also applied to the day column that the table has for that timestamp.
 """
 
 from __future__ import annotations
@@ -13,39 +13,38 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabrank.functions.temporal import day_of
+
 DAY_COLUMN = "pickup_date"
 
+# Column metadata key: the timestamp column that a day column was taken from.
+DAY_OF = "day_of"
+
+
+def with_day_column(df: DataFrame, event_time: str, day_column: str = DAY_COLUMN) -> DataFrame:
+    """Add the calendar day of the event time, marked as such for ``between_days``."""
+    marked = day_of(event_time).alias(day_column, metadata={DAY_OF: event_time.lower()})
+    return df.select("*", marked)
 
-def between_days(
-    df: DataFrame,
-    event_time: str,
-    first: dt.date,
-    last: dt.date,
-    day_column: str = DAY_COLUMN,
-) -> DataFrame:
-    """Rows whose event time falls on ``first`` … ``last``, both days included.
 
-    ``day_column`` is used where the table has it and must hold the day of ``event_time``.
-    """
+def between_days(df: DataFrame, event_time: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows whose event time falls on ``first`` … ``last``, both days included."""
     time = F.col(event_time)
     kept = (time >= F.lit(first)) & (time < F.lit(last + dt.timedelta(days=1)))
-    if day_column.lower() in (name.lower() for name in df.columns):
-        kept = kept & F.col(day_column).between(F.lit(first), F.lit(last))
+    for field in df.schema.fields:
+        if field.metadata.get(DAY_OF) == event_time.lower():
+            kept = kept & F.col(field.name).between(F.lit(first), F.lit(last))
     return df.where(kept)
 
 
-def on_day(
-    df: DataFrame, event_time: str, day: dt.date, day_column: str = DAY_COLUMN
-) -> DataFrame:
-    return between_days(df, event_time, day, day, day_column)
+def on_day(df: DataFrame, event_time: str, day: dt.date) -> DataFrame:
+    return between_days(df, event_time, day, day)
 
 
-def in_month(
-    df: DataFrame, event_time: str, year: int, month: int, day_column: str = DAY_COLUMN
-) -> DataFrame:
+def in_month(df: DataFrame, event_time: str, year: int, month: int) -> DataFrame:
     first = dt.date(year, month, 1)
     following = (first + dt.timedelta(days=31)).replace(day=1)
-    return between_days(df, event_time, first, following - dt.timedelta(days=1), day_column)
+    return between_days(df, event_time, first, following - dt.timedelta(days=1))
 
 
 def equals(df: DataFrame, column: str, value: object) -> DataFrame:

@@ -196,14 +196,14 @@ ORACLE: dict[str, str] = {
         SELECT trip_id, CAST(pickup_datetime AS DATE) AS trip_date FROM trips_ev
     """,
     "fn_round_numeric": """
-        SELECT l_shipdate, net, count(*) AS trip_count
+        SELECT l_shipdate, CAST(sum(net) * 100 AS BIGINT) AS net_cents,
+               CAST(max(net) AS DOUBLE) AS max_net
         FROM (
-            SELECT l_shipdate,
-                   CAST(round(CAST(l_extendedprice AS DECIMAL(12, 2))
-                              * (1 - CAST(l_discount AS DECIMAL(4, 2))), 2) AS DOUBLE) AS net
+            SELECT l_shipdate, round(CAST(l_extendedprice AS DECIMAL(12, 2))
+                                     * (1 - CAST(l_discount AS DECIMAL(4, 2))), 2) AS net
             FROM lineitem
         ) r
-        GROUP BY l_shipdate, net
+        GROUP BY l_shipdate
     """,
     # Named questions
     "trips_on_day": f"""{_TRIPS}

@@ -7,8 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cabrank.functions.temporal import day_of
-from cabrank.operators.filters import DAY_COLUMN
+from cabrank.operators.filters import DAY_COLUMN, with_day_column
 from cabrank.quality import require_key, require_row_count
 from cabrank.sinks.layout import by_group, by_range, many_directories
 
@@ -64,7 +63,7 @@ def publish_by_day(
     Columns in ``drop`` are left out before anything is read, so files may disagree about their
     types. Rows without an event time go to the NULL partition.
     """
-    kept = df.drop(*drop).withColumn(day_column, day_of(event_time))
+    kept = with_day_column(df.drop(*drop), event_time, day_column)
     spark = df.sparkSession
     with many_directories(spark):
         days = by_group(kept, day_column)
@@ -86,7 +85,7 @@ def publish_clustered(
     narrow column range of each file lets readers skip files and row groups. Clustering is by
     range, so a value with a third of the rows spans several files, where a bucket would not.
     """
-    kept = df.withColumn(day_column, day_of(event_time))
+    kept = with_day_column(df, event_time, day_column)
     spark = df.sparkSession
     with many_directories(spark):
         laid_out = by_range(kept, day_column, cluster_by, event_time, partitions=partitions)

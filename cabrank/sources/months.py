@@ -41,7 +41,11 @@ def read_months(
     last: dt.date,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """All months as one scan, each row with the month of its file. A missing month is an error."""
+    """All months as one scan, each row with the month of its file.
+
+    A missing month is an error, and so are months whose headers differ in more than case: read
+    the ranges in which they agree one by one.
+    """
     paths = monthly_paths(spec, root, first, last)
     if schema is None:
         df = read_csv_typed(spark, paths, spec.types)

@@ -17,7 +17,7 @@ def land_new_files(
     checkpoint: str,
     files_per_batch: int = 10_000,
 ) -> str:
-    """Land the CSV files that have arrived since the last run under ``target/month=…``; then stop.
+    """Land the CSV files that arrived since the last run under ``target/month=…``, then stop.
 
     ``checkpoint`` records which files are done. A run that dies is resumed from it, and the sink
     commits every batch once, so repeating a run changes nothing.

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cabrank.operators.filters import between_days
-from cabrank.plans import pipelines
+from cabrank.operators.filters import between_days, on_day
+from cabrank.plans import pipelines, trips
 from cabrank.quality import KeyViolation, RowCountMismatch
 from cabrank.session import build_session, fresh_database, shuffle_partitions, workspace
 from cabrank.sinks import jdbc, lake, layout, ordinal, tables
@@ -178,6 +178,57 @@ def test_load_trips_and_zones(spark, tmp_path):
     assert spark.table(f"{database}.zone_data").count() == 2
 
 
+def test_months_to_questions(spark, tmp_path):
+    """All registered datasets from monthly files, with headers in different case, to answers."""
+    root, target = tmp_path / "csv", str(tmp_path / "lake")
+    headers = {
+        "yellow": ["tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "tip_amount"],
+        "green": ["lpep_pickup_datetime", "ehail_fee", "total_amount"],
+        "fhv": ["Pickup_datetime", "dropoff_datetime", "dispatching_base_num"],
+    }
+    values = {"yellow": "2,3.5", "green": "1.5", "fhv": "B1"}
+    for name, header in headers.items():
+        for month, renamed in (("2021-01", str), ("2021-02", str.lower)):
+            day = f"{month}-05 23:30:00"
+            later = "x" if name == "green" else f"{month}-06 00:10:00"
+            lines = [f"{day},{later},{values[name]}"] * 2
+            if name == "fhv":
+                lines.append(f"{day},{later},")
+            put(root / f"{name}_tripdata_{month}.csv", renamed(",".join(header)), *lines)
+    span = (dt.date(2021, 1, 1), dt.date(2021, 2, 28))
+    for spec in REGISTRY.values():
+        pipelines.backfill(spark, spec, str(root), target, *span)
+    database = fresh_database(spark)
+    sources = pipelines.lake_sources(spark, target, database)
+    counts = pipelines.publish_registry(spark, sources, database).collect()
+    assert {tuple(r) for r in counts} == {
+        (name, dt.date(2021, month, 5), 3 if name == "fhv" else 2)
+        for name in headers
+        for month in (1, 2)
+    }
+    assert "ehail_fee" not in spark.table(f"{database}.green_tripdata").columns
+    fhv = spark.table(f"{database}.fhv_tripdata")
+    january = (dt.date(2021, 1, 1), dt.date(2021, 1, 5))
+    assert trips.distinct_bases(fhv, *january).head()[0] == 2
+    assert trips.trips_for_bases(fhv, *january, ["B1", "B2"]).head()[0] == 2
+    best = trips.top_tip_day(
+        spark.table(f"{database}.yellow_tripdata"), 2021, 2, "tpep_pickup_datetime"
+    )
+    assert tuple(best.head()) == (dt.date(2021, 2, 5), 3.5)
+
+
+def test_day_column_serves_only_its_own_time(spark):
+    df = spark.createDataFrame(
+        [(1, dt.datetime(2021, 1, 1, 23, 50), dt.datetime(2021, 1, 2, 0, 10))],
+        "id int, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz",
+    )
+    published = tables.publish_by_day(df, f"{fresh_database(spark)}.t", "pickup_datetime")
+    one, two = dt.date(2021, 1, 1), dt.date(2021, 1, 2)
+    assert ids(on_day(published, "dropoff_datetime", two)) == [1]
+    assert ids(on_day(published, "Pickup_Datetime", one)) == [1]
+    assert ids(on_day(published, "pickup_datetime", two)) == []
+
+
 def test_batches_concatenate(spark):
     name = f"{fresh_database(spark)}.t"
     batches = [spark.range(5), spark.range(5, 9), spark.range(0)]
