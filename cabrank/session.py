@@ -10,15 +10,26 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# Input bytes one shuffle partition should carry; also what AQE splits and coalesces towards.
+# What one task should carry; AQE splits and merges shuffle partitions towards it.
 PARTITION_BYTES = 128 * MIB
 
+# A shuffle has a block for each pair of a map and a reduce task, so both numbers are bounded.
+# Above the bounds the splits grow, and AQE divides reduce partitions that are too large.
+MAX_MAP_TASKS = 200_000
+MAX_SHUFFLE_PARTITIONS = 20_000
+
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shuffle_partitions(input_bytes: int, minimum: int = 8) -> int:
-    """Partitions that keep one task near ``PARTITION_BYTES``; AQE coalesces any excess."""
-    return max(minimum, math.ceil(input_bytes / PARTITION_BYTES))
+    """Reduce partitions for an input of this size; AQE merges them where a shuffle is smaller."""
+    wanted = math.ceil(input_bytes / PARTITION_BYTES)
+    return max(minimum, min(MAX_SHUFFLE_PARTITIONS, wanted))
+
+
+def split_bytes(input_bytes: int) -> int:
+    """Size of the file splits for an input of this size."""
+    return max(PARTITION_BYTES, math.ceil(input_bytes / MAX_MAP_TASKS))
 
 
 def build_session(
@@ -29,8 +40,9 @@ def build_session(
 ) -> SparkSession:
     """A session set up for trip jobs.
 
-    ``input_bytes`` is the size of the largest input and sizes the shuffle: a 100 TB load needs
-    some 800,000 partitions, not the default 200. ``conf`` overrides any setting.
+    ``input_bytes``, the size of the largest input, sizes splits and shuffles, for which Spark's
+    defaults of 128 MB and 200 partitions are too small by far at 100 TB. ``conf`` overrides any
+    setting.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -48,6 +60,7 @@ def build_session(
     }
     if input_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+        settings["spark.sql.files.maxPartitionBytes"] = str(split_bytes(input_bytes))
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

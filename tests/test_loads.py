@@ -12,7 +12,13 @@ from pyspark.sql.window import Window
 from cabrank.operators.filters import between_days, on_day
 from cabrank.plans import pipelines, trips
 from cabrank.quality import KeyViolation, RowCountMismatch
-from cabrank.session import build_session, fresh_database, shuffle_partitions, workspace
+from cabrank.session import (
+    build_session,
+    fresh_database,
+    shuffle_partitions,
+    split_bytes,
+    workspace,
+)
 from cabrank.sinks import jdbc, lake, layout, ordinal, tables
 from cabrank.sources import csv, months
 from cabrank.sources.tables import external_table, read_lake, scan_table
@@ -443,6 +449,9 @@ def test_cluster_without_shared_folder_is_an_error():
         workspace(Session())
 
 
-def test_shuffle_partitions_grow_with_the_input():
+def test_splits_and_partitions_grow_with_the_input():
     assert shuffle_partitions(1) == 8
-    assert shuffle_partitions(100 * 1024**4) == 819_200
+    assert shuffle_partitions(1024**4) == 8192
+    assert split_bytes(1024**4) == 128 * 1024**2
+    assert shuffle_partitions(100 * 1024**4) == 20_000
+    assert 500 * 1024**2 < split_bytes(100 * 1024**4) < 600 * 1024**2
