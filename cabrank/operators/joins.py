@@ -48,10 +48,7 @@ def join_both_roles(
 
 
 def with_known(facts: DataFrame, dimension: DataFrame, fact_key: str) -> DataFrame:
-    """Facts whose key is in the dimension: the filtering half of the inner join.
-
-    Used ahead of an aggregation on ids; the names are attached to the few result rows later.
-    """
+    """Facts whose key is in the dimension: the filtering half of the inner join."""
     keys = dimension.select(F.col(ZONE_KEY).alias(fact_key))
     return facts.join(keys, fact_key, "left_semi")
 

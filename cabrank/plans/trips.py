@@ -1,7 +1,8 @@
 """The trip questions.
 
-Zone questions aggregate on integer ids, take the top rows and attach the names last: the shuffle
-carries only ids, and zones that share a name stay separate.
+Zone questions aggregate on integer ids and join the zones to the groups: the shuffle carries only
+ids, zones that share a name stay separate, and trips with a missing or unknown id drop out as
+they would in a join ahead of the aggregation, because the group key is the join key.
 """
 
 from __future__ import annotations
@@ -72,11 +73,8 @@ def top_destination(
     """The most frequent dropoff zone of trips that started in a zone within a range of days."""
     started = between_days(trips, event_time, first, last)
     started = with_known(started, zones.where(F.col("Zone") == pickup_zone), PICKUP_KEY)
-    counts = count_by(with_known(started, zones, DROPOFF_KEY), DROPOFF_KEY)
-    named = join_dimension(
-        top(counts, "trip_count", DROPOFF_KEY, k=k), zones, DROPOFF_KEY, dropoff_zone="Zone"
-    )
-    # Names are unique per id, so this limit only turns a global sort into a merge of k rows.
+    counts = count_by(started, DROPOFF_KEY)
+    named = join_dimension(counts, zones, DROPOFF_KEY, dropoff_zone="Zone")
     return top(named, "trip_count", DROPOFF_KEY, k=k).select("dropoff_zone", "trip_count")
 
 
@@ -88,9 +86,8 @@ def priciest_pair(
 ) -> DataFrame:
     """The pickup and dropoff zones with the highest average fare, unknown zones left out."""
     placed = without_unknown_zones(trips, unknown)
-    placed = with_known(with_known(placed, zones, PICKUP_KEY), zones, DROPOFF_KEY)
     fares = mean_by(placed, PICKUP_KEY, DROPOFF_KEY, amount="total_amount", name="average_fare")
-    named = join_both_roles(top(fares, "average_fare", PICKUP_KEY, DROPOFF_KEY, k=k), zones)
+    named = join_both_roles(fares, zones)
     return top(named, "average_fare", PICKUP_KEY, DROPOFF_KEY, k=k).select(
         "pickup_zone", "dropoff_zone", "average_fare"
     )
