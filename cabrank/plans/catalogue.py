@@ -21,7 +21,8 @@ from cabrank.quality import key_violations, loaded_counts, require_key
 from cabrank.session import fresh_database, fresh_dir
 from cabrank.sinks import lake, layout, ordinal, tables
 from cabrank.sources import csv, months
-from cabrank.sources.tables import external_table, read_lake, scan_table
+from cabrank.sources import tables as source_tables
+from cabrank.sources.tables import external_table, read_lake
 from cabrank.specs import REGISTRY, DatasetSpec
 from cabrank.streaming.landing import land_new_files
 
@@ -122,10 +123,10 @@ def external_table_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def scan_table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{fresh_database(spark)}.customers"
     tables.replace_table(table(spark, sf_dir, "customer"), name)
-    return scan_table(spark, f"spark_catalog.{name}")
+    return source_tables.scan_table(spark, f"spark_catalog.{name}")
 
 
 @query
@@ -528,6 +529,3 @@ def distinct_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_for_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.trips_for_bases(trips_ev(spark, sf_dir), FIRST, LAST, BASES, base="raw_base")
 
-
-# The function of this name would hide the source function it calls.
-QUERIES["scan_table"] = QUERIES.pop("scan_table_by_name")

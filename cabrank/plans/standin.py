@@ -29,7 +29,8 @@ def zone_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Suppliers join first: a filter on the pickup zone then thins the lines before their shuffle
     to the orders, which have met their customers by then. None of the sides has a bounded size,
-    so the strategy of each join is left to the optimizer.
+    so the strategy of each join is left to the optimizer. The right sides have unique keys: AQE
+    can split a hot key of the left side over tasks at the price of one repeated row.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
