@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def sort_asc(df: DataFrame, *columns: str) -> DataFrame:
-    """Global sort. Rows that are equal in all columns end up in one task: name enough of them."""
+    """Global sort, for results. Rows that are equal in all columns end up in one task.
+
+    For whole tables with frequent values see ``sinks.layout.by_range``.
+    """
     return df.orderBy(*[F.asc_nulls_last(c) for c in columns])
 
 

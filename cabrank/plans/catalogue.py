@@ -168,12 +168,10 @@ def row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_ordinal_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = table(spark, sf_dir, "orders").orderBy("o_orderdate", "o_orderkey")
-    source = csv.write_csv(
-        ordered.select("o_orderkey", "o_orderdate"), f"{fresh_dir(spark, 'source')}/orders.csv"
-    )
-    schema = T.StructType([ordered.schema["o_orderkey"], ordered.schema["o_orderdate"]])
-    return ordinal.load_csv_with_index(spark, source, schema, fresh_dir(spark, "indexed"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    ordered = layout.by_range(orders, "o_orderdate", "o_orderkey")
+    source = csv.write_csv(ordered, f"{fresh_dir(spark, 'source')}/orders.csv")
+    return ordinal.load_csv_with_index(spark, source, orders.schema, fresh_dir(spark, "indexed"))
 
 
 @query
@@ -277,8 +275,8 @@ def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips_by_dropoff, name, "dropoff_datetime", "dispatching_base_num", "dropoff_date"
     )
     wanted = filters.between_days(clustered, "dropoff_datetime", FIRST, LAST)
-    # The later keys let the sort split a base that has many of the rows.
-    return ranking.sort_asc(wanted, "dispatching_base_num", "dropoff_datetime", "event_id")
+    # Ordered by base over all partitions, without leaving a frequent base to one task.
+    return layout.by_range(wanted, "dispatching_base_num")
 
 
 # Projections

@@ -17,15 +17,15 @@ from cabrank.sinks.layout import by_group, many_directories
 from cabrank.session import fresh_dir
 from cabrank.sinks.ordinal import load_csv_with_index
 from cabrank.sinks.tables import load_table, publish_by_day, replace_dimension
-from cabrank.sources.csv import header_schema, read_csv_inferred, read_csv_typed
+from cabrank.sources.csv import header_schema, read_csv_typed
 from cabrank.sources.months import MONTH_COLUMN, month_range, read_months
 from cabrank.sources.tables import external_table
-from cabrank.specs import REGISTRY, DatasetSpec
+from cabrank.specs import REGISTRY, ZONES, DatasetSpec
 
 
 def load_zones(spark: SparkSession, source: str, table: str = "zone_data") -> DataFrame:
     """Replace the zone dimension by a CSV file, whose ``LocationID`` must be a key."""
-    return replace_dimension(read_csv_inferred(spark, source), table, "LocationID")
+    return replace_dimension(read_csv_typed(spark, source, ZONES.types), table, "LocationID")
 
 
 def load_trips(

@@ -48,6 +48,8 @@ def by_group(df: DataFrame, *columns: str) -> DataFrame:
 def by_range(df: DataFrame, *columns: str, partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by the columns, so that each file covers a narrow range of them.
 
+    Read in the order of its partitions, the result is sorted as a whole, NULLs first.
+
     ``partitions`` defaults to the session's shuffle partitions, fewer where AQE finds them small.
 
     The row's position in its input partition is the last range key: rows that are equal in all

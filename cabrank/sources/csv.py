@@ -66,7 +66,7 @@ def read_csv_inferred(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     require_csv(*paths)
     df = spark.read.options(**DIALECT, inferSchema=True).csv(paths)
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
+    return df.withColumns({name: F.col(f"`{name}`").cast("timestamp_ntz") for name in zoned})
 
 
 def write_csv(df: DataFrame, path: str, *partition_by: str) -> str:

@@ -36,6 +36,12 @@ def setting(spark, key, value):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def test_clustered_table_is_read_in_order(spark):
+    rows = contract.queries()["clustered_layout"](spark, SF_DIR).collect()
+    bases = [row["dispatching_base_num"] for row in rows]
+    assert bases == sorted(bases) and len(set(bases)) == 5
+
+
 def test_day_filter_reaches_the_scan(spark):
     text = plan(filters.on_day(table(spark, SF_DIR, "events"), "ts", dt.date(2024, 1, 15)))
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in text
