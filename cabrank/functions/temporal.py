@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
 def parse_time(text: Column | str, fmt: str = TIME_FORMAT) -> Column:

@@ -437,7 +437,7 @@ def top_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fn_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.date_format("pickup_datetime", temporal.TIME_FORMAT)
+    text = F.col("pickup_datetime").cast("string")
     return trips_ev(spark, sf_dir).select(
         "trip_id", temporal.parse_time(text).alias("pickup_datetime")
     )

@@ -180,8 +180,7 @@ ORACLE: dict[str, str] = {
     "top_1": f"{_TRIPS} {_DAILY_COUNTS} ORDER BY trip_count DESC, trip_date ASC LIMIT 1",
     # Scalar functions
     "fn_to_timestamp": f"""{_TRIPS}
-        SELECT trip_id, strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'),
-                                 '%Y-%m-%d %H:%M:%S') AS pickup_datetime
+        SELECT trip_id, CAST(CAST(pickup_datetime AS VARCHAR) AS TIMESTAMP) AS pickup_datetime
         FROM trips_ev
     """,
     "fn_date": f"""{_TRIPS}

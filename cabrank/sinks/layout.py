@@ -22,9 +22,11 @@ _MANY_DIRECTORIES = {
 @contextmanager
 def many_directories(spark: SparkSession) -> Iterator[None]:
     """Settings for a write into many directories, which is bound by files rather than bytes."""
-    before = {key: spark.conf.get(key) for key in _MANY_DIRECTORIES}
+    before = {}
     for key, value in _MANY_DIRECTORIES.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key) != value:
+            before[key] = spark.conf.get(key)
+            spark.conf.set(key, value)
     try:
         yield
     finally:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cabrank.functions.temporal import TIME_FORMAT
+
 DIALECT = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
 
@@ -81,7 +83,7 @@ def write_csv(df: DataFrame, path: str, *partition_by: str) -> str:
             escape='"',
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
-            timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+            timestampNTZFormat=TIME_FORMAT,
         )
         .csv(path)
     )
