@@ -19,9 +19,10 @@ def to_cents(amount: Column | str) -> Column:
     """A money amount as whole cents in a bigint.
 
     Integer sums do not depend on the order in which a shuffle delivers rows, and stay cheaper
-    than decimal ones. Under ANSI mode an overflow fails instead of wrapping.
+    than decimal ones. Under ANSI mode an overflow fails instead of wrapping. NaN gives NULL.
     """
-    return F.floor(_column(amount) * 100 + F.lit(0.5)).cast("bigint")
+    value = _column(amount)
+    return F.when(~F.isnan(value), F.floor(value * 100 + F.lit(0.5)).cast("bigint"))
 
 
 def mean_from_cents(total: Column | str, n: Column | str) -> Column:

@@ -31,7 +31,7 @@ def mean_by(df: DataFrame, *keys: str, amount: str, name: str) -> DataFrame:
     cents = to_cents(amount)
     return (
         df.groupBy(*keys)
-        .agg(F.sum(cents).alias("_total"), F.count(amount).alias("_n"))
+        .agg(F.sum(cents).alias("_total"), F.count(cents).alias("_n"))
         .select(
             *keys,
             F.when(F.col("_n") > 0, mean_from_cents("_total", F.greatest("_n", F.lit(1)))).alias(

@@ -134,7 +134,7 @@ def test_mean_from_cents_against_decimals(spark):
 
 
 def test_mean_by_group(spark):
-    data = [(1, 0.1), (1, 0.2), (1, 0.3), (2, None), (3, 1.0), (3, 1.01), (3, None)]
+    data = [(1, 0.1), (1, 0.2), (1, 0.3), (2, None), (3, 1.0), (3, 1.01), (3, None), (3, float("nan"))]
     df = spark.createDataFrame(data, "k int, x double")
     means = dict(rows(aggregates.mean_by(df, "k", amount="x", name="m")))
     assert means == {1: 0.2, 2: None, 3: 1.01}

@@ -318,6 +318,17 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path, adaptive, observed
     assert ids(written) == list(range(200_000))
 
 
+def test_write_settings_are_put_back(spark):
+    def current():
+        return {key: spark.conf.get(key) for key in layout._MANY_DIRECTORIES}
+
+    before = current()
+    with pytest.raises(ZeroDivisionError), layout.many_directories(spark):
+        assert current() == layout._MANY_DIRECTORIES
+        raise ZeroDivisionError
+    assert current() == before
+
+
 def test_clustering_splits_a_hot_value_and_narrows_files(spark, tmp_path):
     source = str(tmp_path / "source")
     base = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.format_string("b%02d", F.col("id") % 40))
