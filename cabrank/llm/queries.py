@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabrank.llm import bpe, decontaminate, records, shards
+from cabrank.llm import bpe, decontaminate, divergence, records, secrets, shards
 from cabrank.session import fresh_dir
 
 SHARDS = 24
@@ -37,6 +37,24 @@ def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("secret_spans")
+
+    def number(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        number("assign"),
+        number("access"),
+        number("hex"),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
 def op3_length_delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "records")
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +82,11 @@ def op4_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return divergence.judge(docs).drop("text", "lang")
+
+
 def op9_decontaminate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -79,7 +102,9 @@ def op9_decontaminate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_weighted_hash_tree": op1_weighted_hash_tree,
+    "op2_entropy_secrets": op2_entropy_secrets,
     "op3_length_delimited_records": op3_length_delimited_records,
     "op4_segment_tree_bpe": op4_segment_tree_bpe,
+    "op6_distribution_divergence": op6_distribution_divergence,
     "op9_decontaminate_windows": op9_decontaminate_windows,
 }
