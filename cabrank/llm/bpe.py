@@ -175,7 +175,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         table = loaded(path).table
-        return [pa.array([table.ids(t or "") for t in texts.to_pylist()], pa.binary())]
+        return [pa.array(table.ids([t or "" for t in texts.to_pylist()]), pa.binary())]
 
     return append(df, [text], compute, T.StructType([T.StructField("ids", T.BinaryType())]), keep)
 

@@ -5,7 +5,8 @@ A record is framed as
 
     length   unsigned 64-bit   bytes of the payload
     check    unsigned 32-bit   masked crc32 of the length field
-    payload  1 byte, 1 if there is a doc_id; signed 64-bit doc_id; ids as unsigned 32-bit
+    payload  1 byte, 1 if there is a doc_id; 1 byte, the bytes of an id (2 if all ids of the
+             document are below 65536, else 4); signed 64-bit doc_id; the ids, unsigned
     check    unsigned 32-bit   masked crc32 of the payload
 
 all little-endian. Masking (rotate right by 15 bits, add a constant) keeps the checksum of data
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import re
 import struct
 import uuid
 import zlib
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabrank.llm.arrow import slices
+from cabrank.llm.bpe import byte_letters
 from cabrank.llm.units import UnitTable
 
 END_ID = 2
@@ -61,8 +64,12 @@ READ = T.StructType(
         T.StructField("ids", T.BinaryType()),
     ]
 )
+# Letters of the Latin blocks, \p{L} in every version of Unicode; a unit is a word after a blank,
+# and maybe, on the next line, another.
+_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLAIN_UNIT = re.compile(f"( ?[{_L}]+)([.,]?)(?:\n([{_L}]+)([.,]?))?")
 _HEAD = struct.Struct("<QI")
-_PAYLOAD = struct.Struct("<Bq")
+_PAYLOAD = struct.Struct("<BBq")
 _CHECK = struct.Struct("<I")
 _BATCH_BYTES = 8 * 1024 * 1024
 
@@ -73,21 +80,74 @@ def masked(data: bytes) -> int:
 
 
 def frame(doc_id: int | None, ids: bytes) -> bytes:
-    payload = _PAYLOAD.pack(doc_id is not None, doc_id or 0) + ids
+    """The record of a document, of its ids as little-endian unsigned 32-bit integers."""
+    numbers = np.frombuffer(ids, "<u4")
+    width = 2 if not len(numbers) or int(numbers.max()) < 1 << 16 else 4
+    packed = numbers.astype("<u2").tobytes() if width == 2 else ids
+    payload = _PAYLOAD.pack(doc_id is not None, width, doc_id or 0) + packed
     length = len(payload).to_bytes(8, "little")
     return b"".join([length, _CHECK.pack(masked(length)), payload, _CHECK.pack(masked(payload))])
 
 
 def parse(record: bytes) -> tuple[int | None, bytes]:
-    """doc_id and id bytes of one whole record; a damaged one raises."""
+    """doc_id and ids (as in ``frame``) of one whole record; a damaged one raises."""
     length, check = _HEAD.unpack_from(record)
     payload = record[_HEAD.size : _HEAD.size + length]
     if check != masked(record[:8]) or len(record) != _HEAD.size + length + _CHECK.size:
         raise ValueError("damaged record length")
     if _CHECK.unpack_from(record, _HEAD.size + length)[0] != masked(payload):
         raise ValueError("damaged record")
-    has_id, doc_id = _PAYLOAD.unpack_from(payload)
-    return (doc_id if has_id else None), payload[_PAYLOAD.size :]
+    has_id, width, doc_id = _PAYLOAD.unpack_from(payload)
+    ids = np.frombuffer(payload, f"<u{width}", offset=_PAYLOAD.size).astype("<u4").tobytes()
+    return (doc_id if has_id else None), ids
+
+
+class LibraryUnits:
+    """Ids of short texts by the tokenizers library.
+
+    A blank and letters are one pre-token, so the library's BPE model can take them directly; a
+    point or comma behind and a line break before the next word are others. Everything else goes
+    through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.model = tokenizer.model
+        self.letter = {byte: letter for letter, byte in byte_letters().items()}
+        pre = tokenizer.to_str()
+        self.direct = '"ByteLevel"' in pre and tokenizer.normalizer is None
+        self.after = {"": b""} | {c: self.whole([c])[0] for c in ".,\n"}
+        self.blank = self.letter[32]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in done]
+
+    def word(self, word: str) -> bytes:
+        if word.isascii():
+            word = word.replace(" ", self.blank)
+        else:
+            word = "".join(map(self.letter.__getitem__, word.encode()))
+        ids = [token.id for token in self.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        done: list[bytes | None] = []
+        rest = []
+        match = _PLAIN_UNIT.fullmatch if self.direct else lambda _: None
+        for text in texts:
+            plain = match(text)
+            if plain is None:
+                rest.append(text)
+                done.append(None)
+                continue
+            word, point, second, last = plain.groups()
+            ids = self.word(word) + self.after[point]
+            if second:
+                ids += self.after["\n"] + self.word(second) + self.after[last]
+            done.append(ids)
+        others = iter(self.whole(rest))
+        return [next(others) if x is None else x for x in done]
 
 
 _TABLES: dict[str, UnitTable] = {}
@@ -103,11 +163,7 @@ def library_table(tokenizer_path: str) -> UnitTable:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
-        def encode(texts: list[str]) -> list[bytes]:
-            done = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in done]
-
-        _TABLES[tokenizer_path] = UnitTable(encode)
+        _TABLES[tokenizer_path] = UnitTable(LibraryUnits(tokenizer))
     return _TABLES[tokenizer_path]
 
 
@@ -156,8 +212,9 @@ def _write_file(
             fs.create_dir(root, recursive=True)
             out = fs.open_output_stream(own)
         rows = []
-        for doc_id, body in zip(*[part.column(i).to_pylist() for i in (0, 1)], strict=True):
-            ids = table.ids(body) + end
+        encoded = table.ids(part.column(1).to_pylist())
+        for doc_id, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
+            ids += end
             record = frame(doc_id, ids)
             rows.append((doc_id, number, first, offset, len(record), len(ids) // 4))
             first += len(ids) // 4

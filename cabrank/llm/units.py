@@ -26,28 +26,31 @@ class UnitTable:
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = TABLE_UNITS):
         self.encode = encode
         self.limit = limit
+        # None for what starts with a blank: it continues a run of blanks, where no cut is sure.
         self.after_blank: dict[str, bytes | None] = {}
 
-    def ids(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The id bytes of each text; the units that are new in any of them are encoded at once."""
         known = self.after_blank
-        try:
-            body = b"".join(map(known.__getitem__, rest))
-        except (KeyError, TypeError):
-            body = None
-        if body is None:
-            missing = {unit for unit in rest if unit not in known}
-            # A unit that starts with a blank continues a run of blanks: no boundary is sure there.
-            odd = {unit for unit in missing if not unit or unit[0].isspace()}
-            new = sorted(missing - odd)
-            found = dict(zip(new, self.encode([" " + unit for unit in new]), strict=True))
-            found.update(dict.fromkeys(odd))
-            if any((found[u] if u in found else known[u]) is None for u in rest):
-                return self._cut(text)
-            body = b"".join([found[u] if u in found else known[u] for u in rest])
-            if len(known) < self.limit:
-                known.update((u, ids) for u, ids in found.items() if len(u) <= LONGEST_KEPT)
-        return (self.encode([first])[0] if first else b"") + body
-
-    def _cut(self, text: str) -> bytes:
-        return b"".join(self.encode(_BOUNDARY.split(text)))
+        firsts, rests, new = [], [], set()
+        for text in texts:
+            first, *rest = text.split(" ")
+            firsts.append(first)
+            rests.append(rest)
+            new.update(rest)
+        new.difference_update(known)
+        odd = {unit for unit in new if not unit or unit[0].isspace()}
+        known.update(dict.fromkeys(odd))
+        fresh = list(new - odd)
+        known.update(zip(fresh, self.encode([" " + unit for unit in fresh]), strict=True))
+        done = []
+        for text, head, rest in zip(texts, self.encode(firsts), rests, strict=True):
+            try:
+                done.append(head + b"".join(map(known.__getitem__, rest)))
+            except TypeError:
+                done.append(b"".join(self.encode(_BOUNDARY.split(text))))
+        full = len(known) > self.limit
+        for unit in new:
+            if full or len(unit) > LONGEST_KEPT:
+                del known[unit]
+        return done

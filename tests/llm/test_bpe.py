@@ -4,7 +4,7 @@ import struct
 
 import public_tokenizers
 import pytest
-from cabrank.llm import bpe, queries
+from cabrank.llm import bpe, queries, records
 from cabrank.llm.units import UnitTable
 from conftest import TESTDATA
 from frames import awkward, empty, save
@@ -22,7 +22,7 @@ def library(text):
 
 
 def ours(text, table=BPE.table):
-    data = table.ids(text)
+    data = table.ids([text])[0]
     return [*struct.unpack(f"<{len(data) // 4}I", data)]
 
 
@@ -33,14 +33,22 @@ def ours(text, table=BPE.table):
 )
 def test_ids_and_text_equal_the_library(text):
     assert ours(text) == library(text)
-    assert BPE.decode(BPE.table.ids(text)) == TOKENIZER.decode(library(text), skip_special_tokens=False)
+    assert BPE.decode(BPE.table.ids([text])[0]) == TOKENIZER.decode(library(text), skip_special_tokens=False)
 
 
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab \n\t'sé\u00a0\u2003\x1c1½.<|>_Z\U0001f600"), max_size=40))
 def test_random_texts_equal_the_library(text):
     small = UnitTable(BPE.encode_all, limit=3)
-    for table in (BPE.table, small):
+    for table in (BPE.table, small, records.library_table(PATH)):
+        assert ours(text, table) == library(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abEé.,'s \u0130\u00d7"), max_size=12), max_size=6))
+def test_words_equal_the_library(parts):
+    text = " ".join(parts)
+    for table in (BPE.table, records.library_table(PATH)):
         assert ours(text, table) == library(text)
 
 
