@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabrank.llm import bpe, decontaminate, divergence, records, secrets, shards
+from cabrank.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    licenses,
+    records,
+    resample,
+    secrets,
+    shards,
+)
 from cabrank.session import fresh_dir
 
 SHARDS = 24
@@ -87,6 +96,30 @@ def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(docs).drop("text", "lang")
 
 
+def op7_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, keep=["doc_id"])
+    base = F.transform("base_places", lambda p: p["label"])
+    own = F.transform("license_blocks", lambda b: b["label"])
+    at = F.transform("base_places", lambda p: p["at"])
+
+    def said(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(at).alias("first_word"),
+        F.array_max(at).alias("last_word"),
+        said(base).alias("base_labels"),
+        said(F.concat(base, own)).alias("labels"),
+        F.coalesce(
+            F.array_max(F.transform("license_blocks", lambda b: b["share"])), F.lit(0.0)
+        ).alias("score"),
+    )
+
+
 def op9_decontaminate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -100,11 +133,19 @@ def op9_decontaminate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = resample.classify(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return done.select("doc_id", "importance", "gumbel_key", "kept")
+
+
 QUERIES = {
     "op1_weighted_hash_tree": op1_weighted_hash_tree,
     "op2_entropy_secrets": op2_entropy_secrets,
     "op3_length_delimited_records": op3_length_delimited_records,
     "op4_segment_tree_bpe": op4_segment_tree_bpe,
     "op6_distribution_divergence": op6_distribution_divergence,
+    "op7_license_containment": op7_license_containment,
     "op9_decontaminate_windows": op9_decontaminate_windows,
+    "op10_importance_resampling": op10_importance_resampling,
 }

@@ -1,0 +1,97 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from cabrank.llm import queries, resample
+from conftest import TESTDATA
+from frames import DOCS, awkward, empty
+from pyspark.sql import functions as F
+
+
+def test_held_out_labels(spark):
+    """Trained without every third label, the classifier tells those apart."""
+    folder = f"{TESTDATA}/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rest = labels.where("crc32(cast(doc_id as string)) % 3 != 0")
+    out = resample.classify(docs, rest, keep=["doc_id"])
+    rows = out.join(labels.where("crc32(cast(doc_id as string)) % 3 = 0"), "doc_id").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.98 and sum(junk) / len(junk) < 0.05
+
+
+def test_query_equals_one_process(spark):
+    folder = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    good = {r["doc_id"]: r["quality"] == 1 and r["toxic"] == 0 for r in labels}
+    raw, target = np.zeros(resample.BUCKETS), np.zeros(resample.BUCKETS)
+    grams = {r["doc_id"]: slow_ngrams(r["text"]) for r in docs}
+    for doc_id, own in grams.items():
+        for g in own:
+            raw[g] += 1
+            target[g] += good.get(doc_id, False)
+    expected = raw * target.sum() / raw.sum()
+    ratio = np.log((target + resample.PRIOR) / (expected + resample.PRIOR)).astype(np.float32)
+    got = {r["doc_id"]: r for r in queries.op10_importance_resampling(spark, folder).collect()}
+    assert set(got) == set(grams)
+    for doc_id, own in grams.items():
+        want = float(ratio[own].sum(dtype=np.float64)) / max(1, len(own)) ** 0.5
+        assert got[doc_id]["importance"] == pytest.approx(want, abs=1e-5)
+    kept = [r["gumbel_key"] for r in got.values() if r["kept"]]
+    assert min(kept) > max(r["gumbel_key"] for r in got.values() if not r["kept"])
+
+
+def slow_ngrams(text):
+    import re
+
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode()
+    tokens = re.findall(rb"[0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff\s]+", low)
+    code = [zlib.crc32(t) for t in tokens]
+    mask = (1 << 64) - 1
+    one, two, after = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    mixed = [c * one & mask for c in code] + [((a * two & mask) ^ ((b + 1) * after & mask)) * one & mask for a, b in zip(code, code[1:])]
+    return [(m >> 33) % resample.BUCKETS for m in mixed]
+
+
+def test_gumbel_noise_has_its_distribution(spark):
+    rows = spark.range(20_000).select(resample.gumbel(F.col("id"), 3).alias("g")).agg(F.avg("g"), F.stddev("g")).head()
+    assert rows[0] == pytest.approx(0.5772, abs=0.03) and rows[1] == pytest.approx(1.2825, abs=0.03)
+
+
+def test_top_k_draws_in_proportion_to_the_weights(spark):
+    """The first of a Gumbel draw is item i with probability w_i / sum(w)."""
+    weights = spark.createDataFrame([(i, float(np.log(i + 1))) for i in range(4)], "item int, logw double")
+    trials = spark.range(4_000).crossJoin(weights).withColumn("key", F.col("logw") + resample.gumbel(F.concat("id", F.lit("-"), "item"), 5))
+    first = trials.groupBy("id").agg(F.max_by("item", "key").alias("item")).groupBy("item").count().collect()
+    for row in first:
+        assert row["count"] / 4_000 == pytest.approx((row["item"] + 1) / 10, abs=0.03)
+
+
+@pytest.mark.parametrize("values", [[5], [3, 3, 3], [-(10**15), 0, 10**15, 7, 7], list(range(-50, 20_000, 3))])
+def test_kth_largest(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "key long")
+    order = sorted(values, reverse=True)
+    for k in {1, len(values), random.Random(1).randint(1, len(values))}:
+        assert resample.kth_largest(df, "key", k) == order[k - 1]
+
+
+def test_awkward_rows(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, None), (5, 0, 1), (8, 1, 1), (6, None, 0), (None, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    df = awkward(spark, ("kept", "Importance", "good"))
+    out = resample.classify(df, labels)
+    rows = out.collect()
+    assert len(rows) == 12 and [c.lower() for c in out.columns].count("kept") == 1
+    assert {r["importance"] for r in rows if r["doc_id"] in (2, 3, 4)} == {0.0}
+    some = resample.accepted(df, labels)
+    assert some.columns == df.columns
+    assert resample.classify(empty(spark), labels).count() == 0
+    assert resample.classify(awkward(spark), labels.limit(0)).where("kept").count() == 12
+
+
+def test_label_sample_is_bounded(spark):
+    labels = spark.range(20_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert 700 < resample.good_labels(labels, 1_000).count() < 1_300
+    assert spark.createDataFrame([], DOCS).count() == 0
