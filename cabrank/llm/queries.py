@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cabrank.llm import (
     bpe,
+    ctw,
     decontaminate,
     divergence,
     licenses,
@@ -91,6 +92,20 @@ def op4_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ctw.score(docs, keep=["doc_id"]).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "bits_per_byte",
+    )
+
+
 def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return divergence.judge(docs).drop("text", "lang")
@@ -144,6 +159,7 @@ QUERIES = {
     "op2_entropy_secrets": op2_entropy_secrets,
     "op3_length_delimited_records": op3_length_delimited_records,
     "op4_segment_tree_bpe": op4_segment_tree_bpe,
+    "op5_context_tree_weighting": op5_context_tree_weighting,
     "op6_distribution_divergence": op6_distribution_divergence,
     "op7_license_containment": op7_license_containment,
     "op9_decontaminate_windows": op9_decontaminate_windows,

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,6 +238,7 @@ def read_files(index: DataFrame, path: str) -> DataFrame:
     Only the list of files is taken from the index; lengths and ids come from the files.
     """
     files = index.select("file").distinct()
+    files = files.repartition(max(1, files.count()), "file")  # a number given is not merged by AQE
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(path)
@@ -306,11 +307,10 @@ def with_starts(records: DataFrame, index: DataFrame) -> DataFrame:
 
     The running total is over one row per file, the rows inside a file have theirs already.
     """
-    from pyspark.sql import Window
-
     totals = index.groupBy("file").agg(F.sum("n_tokens").alias("file_tokens"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         "file", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("file_start")
     )
-    return records.join(starts, "file").withColumn("start", F.col("file_start") + F.col("first"))
+    # A file is a range partition, so there are at most spark.sql.shuffle.partitions rows.
+    return records.join(F.broadcast(starts), "file").withColumn("start", F.col("file_start") + F.col("first"))

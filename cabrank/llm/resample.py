@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabrank.llm.arrow import LOWER, append, as_bytes, col, put, slices, written
+from cabrank.llm.select import kth_largest
 
 BUCKETS = 1 << 18
 PRIOR = 20.0
@@ -45,7 +46,6 @@ MISSED = 0.002
 NOISE = 0.05
 SEED = 17
 KEY_SCALE = 1_000_000
-BINS = 4096
 
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff\s]+")
 _ONE, _TWO, _NEXT = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -126,23 +126,6 @@ def gumbel(key: Column, seed: int) -> Column:
     return -F.ln(-F.ln((bits + 0.5) / F.lit(float(1 << 52))))
 
 
-def kth_largest(df: DataFrame, key: str, k: int) -> int | None:
-    """The k-th largest of a long column, by counting bins of ever smaller ranges."""
-    low, high = df.agg(F.min(key), F.max(key)).head()
-    if low is None or k <= 0:
-        return None
-    while low < high:
-        width = max(1, -(-(high - low + 1) // BINS))
-        inside = df.where(F.col(key).between(low, high))
-        bins = inside.groupBy(F.floor((F.col(key) - low) / width).alias("bin")).count().collect()
-        for number, count in sorted(map(tuple, bins), reverse=True):
-            if k <= count:
-                break
-            k -= count
-        low, high = low + number * width, min(high, low + (number + 1) * width - 1)
-    return low
-
-
 def classify(
     docs: DataFrame,
     labels: DataFrame,

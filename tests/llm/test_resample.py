@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from cabrank.llm import queries, resample
+from cabrank.llm import queries, resample, select
 from conftest import TESTDATA
 from frames import DOCS, awkward, empty
 from pyspark.sql import functions as F
@@ -75,7 +75,7 @@ def test_kth_largest(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "key long")
     order = sorted(values, reverse=True)
     for k in {1, len(values), random.Random(1).randint(1, len(values))}:
-        assert resample.kth_largest(df, "key", k) == order[k - 1]
+        assert select.kth_largest(df, "key", k) == order[k - 1]
 
 
 def test_awkward_rows(spark):
