@@ -11,6 +11,7 @@ from cabrank.llm import (
     ctw,
     decontaminate,
     divergence,
+    hamming,
     licenses,
     records,
     resample,
@@ -135,6 +136,12 @@ def op7_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = hamming.near_duplicates(docs, keep=["doc_id"])
+    return done.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_decontaminate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -162,6 +169,7 @@ QUERIES = {
     "op5_context_tree_weighting": op5_context_tree_weighting,
     "op6_distribution_divergence": op6_distribution_divergence,
     "op7_license_containment": op7_license_containment,
+    "op8_multi_index_hamming": op8_multi_index_hamming,
     "op9_decontaminate_windows": op9_decontaminate_windows,
     "op10_importance_resampling": op10_importance_resampling,
 }
