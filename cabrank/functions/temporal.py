@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# How times are written to CSV.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def parse_time(text: Column | str, fmt: str = TIME_FORMAT) -> Column:
-    """String to timestamp. A malformed value fails the job."""
-    return F.to_timestamp_ntz(F.col(text) if isinstance(text, str) else text, F.lit(fmt))
+def parse_time(text: Column | str, fmt: str | None = None) -> Column:
+    """String to timestamp. A malformed value fails the job, whether ANSI mode is on or not.
+
+    Without a format, ISO times are read: with a blank or ``T`` between day and time, with or
+    without fractions, or a day alone, which is its midnight. The CSV sources read times the same
+    way.
+    """
+    value = F.col(text) if isinstance(text, str) else text
+    parsed = value.try_cast("timestamp_ntz") if fmt is None else F.try_to_timestamp(value, F.lit(fmt))
+    wrong = F.raise_error(F.concat(F.lit("malformed time: "), value))
+    return F.when(value.isNotNull(), F.coalesce(parsed.cast("timestamp_ntz"), wrong.cast("timestamp_ntz")))
 
 
 def day_of(time: Column | str) -> Column:

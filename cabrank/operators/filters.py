@@ -3,6 +3,8 @@
 Day and month filters are written as half-open ranges on the raw timestamp, so that they reach the
 Parquet scan. A filter on the timestamp alone does not prune the directories of a day-partitioned
 table, so the same range is also applied to the day column that the table has for that timestamp.
+Both columns are marked as belonging together when they are stored. A column that has been computed
+since carries no mark, and then the timestamp alone decides.
 """
 
 from __future__ import annotations
@@ -20,19 +22,35 @@ DAY_COLUMN = "pickup_date"
 # Column metadata key: the timestamp column that a day column was taken from.
 DAY_OF = "day_of"
 
+# Column metadata key: the day column that was taken from a timestamp column as it is.
+DAY_IN = "day_in"
+
 
 def with_day_column(df: DataFrame, event_time: str, day_column: str = DAY_COLUMN) -> DataFrame:
-    """Add the calendar day of the event time, marked as such for ``between_days``."""
+    """Add the calendar day of the event time, or replace the one there is.
+
+    The day and its time are marked for ``between_days``.
+    """
+    columns = []
+    for name in df.columns:
+        column = F.col("`" + name.replace("`", "``") + "`")
+        if name.lower() == event_time.lower():
+            columns.append(column.alias(name, metadata={DAY_IN: day_column.lower()}))
+        elif name.lower() != day_column.lower():
+            columns.append(column)
     marked = day_of(event_time).alias(day_column, metadata={DAY_OF: event_time.lower()})
-    return df.select("*", marked)
+    return df.select(*columns, marked)
 
 
 def between_days(df: DataFrame, event_time: str, first: dt.date, last: dt.date) -> DataFrame:
     """Rows whose event time falls on ``first`` … ``last``, both days included."""
     time = F.col(event_time)
     kept = (time >= F.lit(first)) & (time < F.lit(last + dt.timedelta(days=1)))
+    stored_in = {
+        field.metadata.get(DAY_IN) for field in df.schema.fields if field.name.lower() == event_time.lower()
+    }
     for field in df.schema.fields:
-        if field.metadata.get(DAY_OF) == event_time.lower():
+        if field.metadata.get(DAY_OF) == event_time.lower() and field.name.lower() in stored_in:
             kept = kept & F.col(field.name).between(F.lit(first), F.lit(last))
     return df.where(kept)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabrank.operators.filters import none_of
 from cabrank.specs import UNKNOWN_ZONES
 
 ZONE_KEY = "LocationID"
@@ -56,6 +57,4 @@ def with_known(facts: DataFrame, dimension: DataFrame, fact_key: str) -> DataFra
 def without_unknown_zones(
     trips: DataFrame, unknown: tuple[int, ...] = UNKNOWN_ZONES
 ) -> DataFrame:
-    return trips.where(
-        ~F.col(PICKUP_KEY).isin(*unknown) & ~F.col(DROPOFF_KEY).isin(*unknown)
-    )
+    return trips.where(none_of(PICKUP_KEY, unknown) & none_of(DROPOFF_KEY, unknown))

@@ -24,10 +24,11 @@ WITH zones AS (
 )
 """
 
-# Average in whole cents, halves away from zero: (2 * total + n) div (2 * n).
+# The average, then rounded once, halves away from zero. In millionths m of n positive amounts it is
+# m / (10000 * n) cents, rounded (2 * m + 10000 * n) div (20000 * n).
 _AVERAGE_FARE = """
-CAST((2 * CAST(sum(CAST(total_amount AS DECIMAL(12, 2))) * 100 AS BIGINT) + count(*))
-     // (2 * count(*)) AS DOUBLE) / 100 AS average_fare
+CAST((2 * CAST(sum(CAST(total_amount AS DECIMAL(18, 6))) * 1000000 AS HUGEINT) + 10000 * count(*))
+     // (20000 * count(*)) AS DOUBLE) / 100 AS average_fare
 """
 
 _IN_RANGE = """
@@ -37,8 +38,7 @@ CAST(pickup_datetime AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
 _BASES = "raw_base IN ('click', 'view', 'error')"
 
 _ORDERED = """
-SELECT o_orderkey, o_orderdate,
-       row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS "index"
+SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS "index"
 FROM orders
 """
 
@@ -66,12 +66,22 @@ ORACLE: dict[str, str] = {
     "scan_csv_chunked": """
         SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS line_count,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(12, 2))) * 100 AS BIGINT) AS price_cents,
+               CAST(sum(CAST(l_quantity AS DECIMAL(12, 2))) * 100 AS BIGINT) AS quantity_cents,
+               CAST(sum(CAST(l_discount AS DECIMAL(12, 2))) * 100 AS BIGINT) AS discount_cents,
+               CAST(sum(CAST(l_tax AS DECIMAL(12, 2))) * 100 AS BIGINT) AS tax_cents,
+               CAST(sum(l_orderkey) AS BIGINT) AS l_orderkey_sum,
+               CAST(sum(l_partkey) AS BIGINT) AS l_partkey_sum,
+               CAST(sum(l_suppkey) AS BIGINT) AS l_suppkey_sum,
+               max(l_orderkey) AS l_orderkey_max, max(l_partkey) AS l_partkey_max,
+               max(l_suppkey) AS l_suppkey_max,
                min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship, max(l_tax) AS max_tax
         FROM lineitem GROUP BY l_returnflag, l_linestatus, l_linenumber
     """,
     "scan_csv_typed": "SELECT * FROM events",
     "external_table_single": "SELECT * FROM part",
-    "external_table_glob": "SELECT * FROM events",
+    "external_table_glob": """
+        SELECT * REPLACE (CASE WHEN ts >= DATE '2024-01-15' THEN props END AS props) FROM events
+    """,
     "scan_table": "SELECT * FROM customer",
     "monthly_source_paths": """
         SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS trips FROM orders GROUP BY 1

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabrank.functions.temporal import month_number
+from cabrank.functions.temporal import day_of, month_number
 from cabrank.operators.aggregates import count_by
 from cabrank.operators.filters import DAY_COLUMN
 from cabrank.sinks.layout import by_group, many_directories
 from cabrank.session import fresh_dir
 from cabrank.sinks.ordinal import load_csv_with_index
-from cabrank.sinks.tables import load_table, publish_by_day, replace_dimension
+from cabrank.quality import require_row_count
+from cabrank.sinks.tables import load_table, publish_by_day, refresh_days, replace_dimension
 from cabrank.sources.csv import header_schema, read_csv_typed
 from cabrank.sources.months import MONTH_COLUMN, month_range, read_months
 from cabrank.sources.tables import external_table
@@ -97,9 +99,12 @@ def lake_sources(
     """
     return {
         name: external_table(
-            spark, f"{database}.{name}_tripdata_external_table", f"{lake.rstrip('/')}/{name}"
+            spark,
+            f"{database}.{name}_tripdata_external_table",
+            f"{lake.rstrip('/')}/{name}",
+            spec.drop_columns,
         ).drop(MONTH_COLUMN)
-        for name in registry
+        for name, spec in registry.items()
     }
 
 
@@ -111,14 +116,38 @@ def publish_registry(
 ) -> DataFrame:
     """Publish ``<database>.<dataset>_tripdata`` by day for each registered dataset.
 
-    ``sources`` holds the raw trips of each dataset, usually an external table. Returns the trips
-    per dataset and day.
+    ``sources`` holds the raw trips of each dataset, usually an external table. The datasets are
+    published side by side, and their trips counted while they are written. Returns the trips
+    per dataset and day, for which one column of the sources is read.
     """
-    counts = []
-    for name, spec in registry.items():
-        table = publish_by_day(
-            sources[name], f"{database}.{name}_tripdata", spec.event_time, spec.drop_columns
-        )
-        daily = count_by(table, DAY_COLUMN, name="trips")
-        counts.append(daily.select(F.lit(name).alias("dataset"), DAY_COLUMN, "trips"))
+
+    def publish(name: str) -> None:
+        spec, written = registry[name], Observation()
+        trips = sources[name].observe(written, F.count(F.lit(1)).alias("rows"))
+        table = f"{database}.{name}_tripdata"
+        publish_by_day(trips, table, spec.event_time, spec.drop_columns)
+        require_row_count(spark, table, written.get["rows"])
+
+    with ThreadPoolExecutor(max_workers=max(1, len(registry))) as pool:
+        list(pool.map(publish, registry))
+    return reduce(DataFrame.unionByName, [_daily(sources[n], n, s) for n, s in registry.items()])
+
+
+def refresh_registry(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    database: str,
+    registry: Mapping[str, DatasetSpec] = REGISTRY,
+) -> DataFrame:
+    """Replace the days of ``sources``, some months of each dataset, in the published tables."""
+    for name, source in sources.items():
+        spec = registry[name]
+        refresh_days(source, f"{database}.{name}_tripdata", spec.event_time, spec.drop_columns)
+    counts = [_daily(source, name, registry[name]) for name, source in sources.items()]
     return reduce(DataFrame.unionByName, counts)
+
+
+def _daily(source: DataFrame, name: str, spec: DatasetSpec) -> DataFrame:
+    days = source.select(day_of(spec.event_time).alias(DAY_COLUMN))
+    daily = count_by(days, DAY_COLUMN, name="trips")
+    return daily.select(F.lit(name).alias("dataset"), DAY_COLUMN, "trips")

@@ -10,13 +10,15 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# What one task should carry; AQE splits and merges shuffle partitions towards it.
+# What one task should carry. AQE merges smaller shuffle partitions towards it. It divides larger
+# ones only in rebalances and, where they are skewed, in joins; so the number has to be right for
+# aggregations, sorts and evenly large joins from the start.
 PARTITION_BYTES = 128 * MIB
 
 # A shuffle has a block for each pair of a map and a reduce task, so both numbers are bounded.
-# Above the bounds the splits grow, and AQE divides reduce partitions that are too large.
+# Tasks keep to PARTITION_BYTES up to 25 TB and then grow: 512 MB at 100 TB.
 MAX_MAP_TASKS = 200_000
-MAX_SHUFFLE_PARTITIONS = 20_000
+MAX_SHUFFLE_PARTITIONS = 200_000
 
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -70,14 +72,15 @@ def build_session(
 def workspace(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local master without the setting gets a temporary folder of its own. A cluster without it
-    is an error, because executors cannot see one another's local disks.
+    A local master without the setting gets a temporary folder of its own. A cluster without it,
+    or with a ``file:`` path, is an error, because executors cannot see one another's local disks.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    cluster = not spark.conf.get("spark.master", "").startswith("local")
+    if cluster and (not shared or shared.startswith("file:")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if shared:
         return shared.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.TemporaryDirectory(prefix="cabrank-")
@@ -89,7 +92,7 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/cabrank/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def fresh_database(spark: SparkSession, label: str = "trips_data_all") -> str:
+def fresh_database(spark: SparkSession, label: str = "scratch") -> str:
     """A new database whose managed tables live in the shared folder, not in a local warehouse."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{fresh_dir(spark, name)}'")

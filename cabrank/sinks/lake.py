@@ -43,13 +43,21 @@ def land_raw(df: DataFrame, lake: str, name: str, rows_per_file: int = 0) -> str
 def regroup_raw(spark: SparkSession, lake: str, dataset: str, event_time: str) -> str:
     """Collect ``raw/<dataset>_tripdata*.parquet`` under ``<dataset>/``, by month of event time.
 
-    The raw files stay where they are, so the step can be run again.
+    The months that are in raw replace those of the dataset; all other months stay, whoever wrote
+    them. The raw files stay where they are, so the step can be run again. Raw files may have
+    different columns: where one lacks a column, it is NULL.
     """
     lake = lake.rstrip("/")
-    raw = spark.read.parquet(f"{lake}/raw/{dataset}_tripdata*.parquet")
+    source = f"{lake}/raw/{dataset}_tripdata*.parquet"
+    raw = spark.read.option("mergeSchema", True).parquet(source)
     monthly = raw.withColumn(MONTH_COLUMN, month_label(event_time))
     target = f"{lake}/{dataset}"
     with many_directories(spark):
         grouped = by_group(monthly, MONTH_COLUMN)
-        grouped.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(target)
+        (
+            grouped.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH_COLUMN)
+            .parquet(target)
+        )
     return target

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -19,19 +20,32 @@ _MANY_DIRECTORIES = {
 }
 
 
+_lock = threading.Lock()
+_writers = 0
+_before: dict[str, str] = {}
+
+
 @contextmanager
 def many_directories(spark: SparkSession) -> Iterator[None]:
-    """Settings for a write into many directories, which is bound by files rather than bytes."""
-    before = {}
-    for key, value in _MANY_DIRECTORIES.items():
-        if spark.conf.get(key) != value:
-            before[key] = spark.conf.get(key)
-            spark.conf.set(key, value)
+    """Settings for a write into many directories, which is bound by files rather than bytes.
+
+    Writes may run side by side: the first one sets them, the last one puts them back.
+    """
+    global _writers
+    with _lock:
+        if not _writers:
+            for key, value in _MANY_DIRECTORIES.items():
+                _before[key] = spark.conf.get(key)
+                spark.conf.set(key, value)
+        _writers += 1
     try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        with _lock:
+            _writers -= 1
+            if not _writers:
+                for key, value in _before.items():
+                    spark.conf.set(key, value)
 
 
 def by_group(df: DataFrame, *columns: str) -> DataFrame:

@@ -21,12 +21,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _file_order(path: str) -> list[Column]:
-    """Directory, then the task number that Spark puts in a file name, then the name."""
+    """Directory, then the numbers of task and file that Spark puts in a name, then the name."""
     column = F.col(path)
-    task = F.regexp_extract(column, r"/part-(\d+)-[^/]*$", 1)
+
+    def number(pattern: str) -> Column:
+        found = F.regexp_extract(column, pattern, 1)
+        return F.when(found != "", found).cast("bigint").asc_nulls_first()
+
     return [
         F.regexp_replace(column, r"[^/]*$", ""),
-        F.when(task != "", task).cast("bigint").asc_nulls_first(),
+        number(r"/part-(\d+)-[^/]*$"),
+        number(r"/part-[^/]*-c(\d+)\.[^/]*$"),
         column,
     ]
 
@@ -34,13 +39,24 @@ def _file_order(path: str) -> list[Column]:
 def _join_offsets(
     spark: SparkSession, rows: DataFrame, offsets: DataFrame, keys: list[str]
 ) -> DataFrame:
-    """Join the per-file offsets, written to the shared folder first and then measured."""
+    """Join the per-file offsets, written to the shared folder first and then measured.
+
+    A file is known by a hash of its path, 16 bytes with its offset: 13 MB for the 800,000 files
+    of 100 TB. Should two paths have one hash, the paths themselves are the key.
+    """
     path = fresh_dir(spark, "offsets")
-    offsets.write.parquet(path)
+    code = F.xxhash64(*keys).alias("_code")
+    offsets.select(*keys, code, "_start").write.parquet(path)
     stored = spark.read.parquet(path)
-    path_bytes = F.sum(F.octet_length(keys[0]) + 64)
-    size = stored.agg(path_bytes.alias("size")).head()["size"] or 0
-    return rows.join(F.broadcast(stored) if size <= BROADCAST_BYTES else stored, keys)
+    n, n_codes, path_bytes = stored.agg(
+        F.count("*"), F.count_distinct("_code"), F.sum(F.octet_length(keys[0]) + 64)
+    ).head()
+    if n == n_codes:
+        small, on, size = stored.select("_code", "_start"), ["_code"], n * 16
+        rows = rows.withColumn("_code", code)
+    else:
+        small, on, size = stored.select(*keys, "_start"), keys, path_bytes
+    return rows.join(F.broadcast(small) if size <= BROADCAST_BYTES else small, on)
 
 
 def with_row_index(parquet: DataFrame, name: str = "index") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,12 +11,62 @@ from pyspark.sql import functions as F
 from cabrank.operators.filters import DAY_COLUMN, with_day_column
 from cabrank.quality import require_key, require_row_count
 from cabrank.sinks.layout import by_group, by_range, many_directories
+from cabrank.sources.tables import OWNED, owns_folder
 
 
-def replace_table(df: DataFrame, table: str) -> DataFrame:
-    """Create the table, or replace it whole. The old rows are gone before the new ones are in."""
-    df.write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+def replace_table(df: DataFrame, table: str, *partition_by: str) -> DataFrame:
+    """Create the table, or replace it whole.
+
+    The new rows are written into a folder of their own, as a table of another name, which then
+    takes the name. So a write that fails leaves the old table as it was, ``df`` may read from it,
+    and no files are moved. The old folder goes last.
+    """
+    spark = df.sparkSession
+    run = uuid.uuid4().hex[:12]
+    new, old = f"{table}__new_{run}", f"{table}__old_{run}"
+    path = f"{_database_folder(spark, table)}/{table.rpartition('.')[2]}-{run}"
+    try:
+        df.write.option("path", path).partitionBy(*partition_by).saveAsTable(new)
+        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ('{OWNED}' = 'true')")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        _delete(spark, path)
+        raise
+    if not spark.catalog.tableExists(table):
+        _rename(spark, new, table)
+        return spark.table(table)
+    folder = _location(spark, table) if owns_folder(spark, table) else None
+    _rename(spark, table, old)
+    try:
+        _rename(spark, new, table)
+    except BaseException:
+        _rename(spark, old, table)
+        raise
+    spark.sql(f"DROP TABLE {old}")
+    if folder:
+        _delete(spark, folder)
+    return spark.table(table)
+
+
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    """The new name is taken in the table's own catalog, so it must not say which."""
+    spark.sql(f"ALTER TABLE {table} RENAME TO {'.'.join(name.split('.')[-2:])}")
+
+
+def _database_folder(spark: SparkSession, table: str) -> str:
+    names = table.split(".")
+    database = names[-2] if len(names) > 1 else spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.head()["data_type"]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def replace_dimension(df: DataFrame, table: str, *key: str) -> DataFrame:
@@ -66,8 +117,33 @@ def publish_by_day(
     kept = with_day_column(df.drop(*drop), event_time, day_column)
     spark = df.sparkSession
     with many_directories(spark):
-        days = by_group(kept, day_column)
-        days.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
+        return replace_table(by_group(kept, day_column), table, day_column)
+
+
+def refresh_days(
+    df: DataFrame,
+    table: str,
+    event_time: str,
+    drop: Iterable[str] = (),
+    day_column: str = DAY_COLUMN,
+) -> DataFrame:
+    """Replace the days that ``df`` has trips for; all other days of the published table stay.
+
+    So a new or corrected month costs its own bytes, not those of the whole table. Columns are
+    matched by name, and the table keeps its own.
+    """
+    kept = with_day_column(df.drop(*drop), event_time, day_column)
+    spark = df.sparkSession
+    with many_directories(spark):
+        days = by_group(kept.select(*spark.table(table).columns), day_column)
+        (
+            days.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(day_column)
+            .parquet(_location(spark, table))
+        )
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
@@ -89,5 +165,4 @@ def publish_clustered(
     spark = df.sparkSession
     with many_directories(spark):
         laid_out = by_range(kept, day_column, cluster_by, event_time, partitions=partitions)
-        laid_out.write.mode("overwrite").partitionBy(day_column).saveAsTable(table)
-    return spark.table(table)
+        return replace_table(laid_out, table, day_column)

@@ -48,7 +48,7 @@ def read_months(
     """
     paths = monthly_paths(spec, root, first, last)
     if schema is None:
-        df = read_csv_typed(spark, paths, spec.types)
+        df = read_csv_typed(spark, paths, spec.types, spec.multi_line)
     else:
-        df = read_csv(spark, paths, schema)
+        df = read_csv(spark, paths, schema, spec.multi_line)
     return df.withColumn(MONTH_COLUMN, month_of_file())

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def read_lake(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -13,19 +15,62 @@ def read_lake(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def external_table(spark: SparkSession, table: str, location: str) -> DataFrame:
+# Property of a table whose folder was made for it alone and goes when it is replaced.
+OWNED = "cabrank.owned"
+
+
+def owns_folder(spark: SparkSession, table: str) -> bool:
+    """Whether the table's folder was made by ``sinks.tables.replace_table``."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{OWNED}'")
+    return bool(rows.head(1))
+
+
+def merged_schema(spark: SparkSession, location: str, drop: Sequence[str] = ()) -> T.StructType:
+    """All columns of all Parquet files under ``location``, without the ones in ``drop``.
+
+    Files may lack columns, and may disagree about the types of dropped ones from directory to
+    directory. A kept column of two types is an error. Footers are read in a distributed pass for
+    each directory; partition columns come last.
+    """
+    gone = {name.lower() for name in drop}
+    files = spark.read.parquet(location).inputFiles()
+    inside = [file for file in files if urlsplit(file).path != urlsplit(location).path]
+    folders = sorted({file.rpartition("/")[0] for file in inside}) or [location]
+    merged: dict[str, T.StructField] = {}
+    for folder in folders:
+        for field in spark.read.option("mergeSchema", True).parquet(folder).schema.fields:
+            known = merged.setdefault(field.name.lower(), field)
+            if known.dataType != field.dataType and field.name.lower() not in gone:
+                kinds = f"{known.dataType.simpleString()} and {field.dataType.simpleString()}"
+                raise ValueError(f"column {field.name} under {location} is {kinds}")
+    found = spark.read.parquet(location).schema
+    partitions = [f for f in found.fields if f.name.lower() not in merged]
+    kept = [f for name, f in merged.items() if name not in gone]
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in kept + partitions])
+
+
+def external_table(
+    spark: SparkSession, table: str, location: str, drop: Sequence[str] = ()
+) -> DataFrame:
     """Publish the Parquet files under ``location`` as a table, without copying them.
 
-    The schema is detected. ``key=value`` directories become partition columns and are registered
-    in the catalog, so filters on them list only the matching directories. An earlier external
-    table of the name is replaced; one that owns its data is not touched.
+    The table has the merged columns of all files but those in ``drop``; where a file lacks one,
+    it is NULL. ``key=value`` directories become partition columns and are registered in the
+    catalog, so filters on them list only the matching directories. An earlier external table of
+    the name is replaced; one that owns its data is not touched.
     """
+    schema = merged_schema(spark, location, drop)
+    folders = {p for f in spark.read.parquet(location).inputFiles() for p in f.split("/") if "=" in p}
+    keys = {p.partition("=")[0].lower() for p in folders}
+    partitions = [f"`{f.name}`" for f in schema.fields if f.name.lower() in keys]
     if spark.catalog.tableExists(table):
-        if spark.catalog.getTable(table).tableType != "EXTERNAL":
+        if spark.catalog.getTable(table).tableType != "EXTERNAL" or owns_folder(spark, table):
             raise ValueError(f"{table} is not an external table")
         spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
-    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by}LOCATION '{location}'")
+    if partitions:
         spark.catalog.recoverPartitions(table)
     return spark.table(table)
 

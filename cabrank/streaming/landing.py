@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from cabrank.sinks.layout import by_group, many_directories
 from cabrank.sources.csv import DIALECT
 from cabrank.sources.months import MONTH_COLUMN, month_of_file
 
@@ -17,23 +18,42 @@ def land_new_files(
     checkpoint: str,
     files_per_batch: int = 10_000,
 ) -> str:
-    """Land the CSV files that arrived since the last run under ``target/month=…``, then stop.
+    """Land the months of the CSV files that arrived since the last run, then stop.
 
-    ``checkpoint`` records which files are done. A run that dies is resumed from it, and the sink
-    commits every batch once, so repeating a run changes nothing.
+    ``checkpoint`` records which files are done. A batch tells which months have new files; these
+    are read whole from the source and replace ``target/month=…``, by the write that the backfill
+    uses. So a run that dies and is resumed, a month whose files come in several batches, and a
+    backfill of the same folder all leave each row once.
     """
+    options = {**DIALECT, "enforceSchema": False}
     arrived = (
         spark.readStream.schema(schema)
-        .options(**DIALECT, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+        .options(**options, maxFilesPerTrigger=files_per_batch)
         .csv(source)
-        .withColumn(MONTH_COLUMN, month_of_file())
+        .select(month_of_file().alias(MONTH_COLUMN))
     )
+
+    def land(batch: DataFrame, _: int) -> None:
+        months = [row[0] for row in batch.distinct().collect()]
+        if not months:
+            return
+        own = batch.sparkSession
+        whole = own.read.schema(schema).options(**options).csv(source)
+        whole = whole.withColumn(MONTH_COLUMN, month_of_file()).where(
+            month_of_file().isin(*months)
+        )
+        with many_directories(own):
+            (
+                by_group(whole, MONTH_COLUMN)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(MONTH_COLUMN)
+                .parquet(target)
+            )
+
     (
-        arrived.writeStream.format("parquet")
-        .partitionBy(MONTH_COLUMN)
-        .option("path", target)
+        arrived.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()

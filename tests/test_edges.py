@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from cabrank.functions.numeric import mean_from_cents, round_numeric
+from cabrank.functions.numeric import exact_amount, mean_to_cents, round_numeric, to_cents
 from cabrank.functions.temporal import parse_time
 from cabrank.operators import aggregates, filters, joins, projection, ranking
 from cabrank.plans import trips
@@ -17,6 +17,7 @@ from cabrank.quality import (
     require_key,
     require_row_count,
 )
+from test_plans import setting
 
 TRIP = (
     "pickup_datetime timestamp_ntz, PULocationID int, DOLocationID int, "
@@ -124,13 +125,33 @@ def test_rounding_is_half_away_from_zero(spark):
     assert rows(df.select(round_numeric("x"))) == expected
 
 
-def test_mean_from_cents_against_decimals(spark):
-    cases = [(total, n) for total in range(-60, 61) for n in (1, 2, 3, 4, 7, 8, 200)]
-    cases += [(9 * 10**17 + 1, 2), (-(9 * 10**17) - 1, 2), (10**18, 3)]
-    df = spark.createDataFrame(cases, "t bigint, n bigint")
-    for total, n, mean in rows(df.select("t", "n", mean_from_cents("t", "n"))):
-        exact = (Decimal(total) / n).quantize(Decimal(1), ROUND_HALF_UP)
-        assert mean == float(exact) / 100
+def test_mean_to_cents_against_decimals(spark):
+    totals = [Decimal(t) / 1000 for t in range(-60, 61)]
+    totals += [Decimal("0.014999"), Decimal("0.015"), Decimal("-0.015"), Decimal(10) ** 12 - Decimal("0.000001")]
+    cases = [(total, n) for total in totals for n in (1, 2, 3, 4, 7, 8, 200)]
+    cases += [(Decimal("49.999999"), 10_000), (Decimal(50), 10_000)]
+    df = spark.createDataFrame(cases, "t decimal(28,6), n bigint")
+    for total, n, mean in rows(df.select("t", "n", mean_to_cents("t", "n"))):
+        exact = (total / n).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert mean == float(exact)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("amount", [1e17, -1e17, float("inf"), float("-inf")])
+def test_amounts_that_do_not_fit_fail(spark, ansi, amount):
+    df = spark.createDataFrame([(amount,), (-5.0,)], "x double")
+    with setting(spark, "spark.sql.ansi.enabled", ansi):
+        with pytest.raises(Exception, match="amount out of range"):
+            aggregates.mean_by(df, amount="x", name="m").collect()
+
+
+def test_amounts_keep_their_digits_until_the_end(spark):
+    df = spark.createDataFrame([(1, 0.005), (1, 0.004), (2, -0.005), (3, 0.005), (4, 10.125)], "k int, x double")
+    assert dict(rows(aggregates.mean_by(df, "k", amount="x", name="m"))) == {1: 0.0, 2: -0.01, 3: 0.01, 4: 10.13}
+    cents = rows(df.select(to_cents("x"), exact_amount("x")))
+    assert cents[2] == (-1, Decimal("-0.005")) and cents[1] == (0, Decimal("0.004"))
+    whole = spark.createDataFrame([(1,), (2,)], "x bigint")
+    assert rows(aggregates.mean_by(whole, amount="x", name="m")) == [(1.5,)]
 
 
 def test_mean_by_group(spark):
@@ -140,11 +161,18 @@ def test_mean_by_group(spark):
     assert means == {1: 0.2, 2: None, 3: 1.01}
 
 
-def test_malformed_time_fails(spark):
-    df = spark.createDataFrame([("2021-01-01 00:30:10",), ("yesterday",)], "t string")
-    assert rows(df.limit(1).select(parse_time("t"))) == [(at("2021-01-01 00:30:10"),)]
-    with pytest.raises(Exception, match="yesterday"):
-        df.select(parse_time("t")).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_times(spark, ansi):
+    texts = ["2021-01-01 00:30:10", "2021-01-01T00:30:10", "2021-01-01", "2021-01-01T00:30:10.25", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wrong = spark.createDataFrame([("yesterday",)], "t string")
+    with setting(spark, "spark.sql.ansi.enabled", ansi):
+        assert rows(df.select(parse_time("t"))) == [(t and at(t),) for t in texts]
+        for fmt in (None, "yyyy-MM-dd"):
+            with pytest.raises(Exception, match="yesterday"):
+                wrong.select(parse_time("t", fmt)).collect()
+    plain = spark.createDataFrame([(texts[0],)], "t string")
+    assert rows(plain.select(parse_time("t", "yyyy-MM-dd HH:mm:ss"))) == [(at(texts[0]),)]
 
 
 def test_key_violations(spark, zones):
@@ -188,6 +216,16 @@ def test_daily_max_of_a_month(spark):
     assert rows(trips.top_tip_day(df, 2021, 1)) == [(days[0], 3.0)]
 
 
+def test_nan_is_no_maximum(spark):
+    nan = float("nan")
+    data = [("2021-01-01", nan), ("2021-01-01", 3.0), ("2021-01-02", nan), ("2021-01-02", None)]
+    df = spark.createDataFrame([(at(d), x) for d, x in data], "pickup_datetime timestamp_ntz, tip_amount double")
+    days = [dt.date(2021, 1, d) for d in (1, 2)]
+    assert rows(trips.daily_max_tip(df, 2021, 1)) == [(days[0], 3.0), (days[1], None)]
+    assert rows(trips.top_tip_day(df, 2021, 1)) == [(days[0], 3.0)]
+    assert rows(ranking.top(spark.createDataFrame([(1, nan), (2, 1.0)], "id int, x double"), "x")) == [(2, 1.0)]
+
+
 def test_projections(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     assert projection.project_star(df).columns == ["a", "b"]

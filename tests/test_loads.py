@@ -87,12 +87,36 @@ def test_inferred_times_have_no_zone(spark, tmp_path):
         assert csv.read_csv_inferred(spark, path).head()["t"] == dt.datetime(2021, 1, 1, 0, 30, 10)
 
 
-def test_typed_columns_resolve_without_case_and_others_pass_through(spark, tmp_path):
+def test_typed_columns_resolve_without_case_and_others_are_inferred(spark, tmp_path):
     path = put(tmp_path / "t.csv", "Pickup,ID,extra", "2021-01-01 00:30:10,7,007")
-    df = csv.read_csv_typed(spark, path, SPEC.types)
+    other = put(tmp_path / "u.csv", "Pickup,ID,extra", "2021-01-01T00:30:10,8,1.5", "2021-01-02,9,")
+    df = csv.read_csv_typed(spark, [path, other], SPEC.types)
     assert df.schema["Pickup"].dataType == TIME
-    row = df.head()
-    assert tuple(row) == (dt.datetime(2021, 1, 1, 0, 30, 10), 7, "007")
+    assert {tuple(row) for row in df.collect()} == {
+        (dt.datetime(2021, 1, 1, 0, 30, 10), 7, 7.0),
+        (dt.datetime(2021, 1, 1, 0, 30, 10), 8, 1.5),
+        (dt.datetime(2021, 1, 2), 9, None),
+    }
+
+
+def test_numbers_of_the_published_columns_load_as_numbers(spark, tmp_path):
+    header = "VendorID,tpep_pickup_datetime,fare_amount,store_and_fwd_flag"
+    path = put(tmp_path / "t.csv", header, "1,2021-01-01 00:30:10,9.5,N", ",2021-01-01,100,")
+    name = f"{fresh_database(spark)}.trips"
+    assert pipelines.load_trips(spark, path, name) == 2
+    assert spark.table(name).selectExpr("max(fare_amount)", "max(VendorID)").head() == (100.0, 1)
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "one\ntwo"), (2, 'say "x"')], "id long, note string")
+    path = csv.write_csv(df, f"{tmp_path}/t.csv")
+    read = csv.read_csv(spark, path, df.schema, multi_line=True)
+    assert sorted(map(tuple, read.collect())) == [(1, "one\ntwo"), (2, 'say "x"')]
+    assert read.count() == 2
+    assert csv.read_csv_typed(spark, path, {}, multi_line=True).count() == 2
+    for action in ("collect", "count"):
+        with pytest.raises(Exception, match="MALFORMED"):
+            getattr(csv.read_csv(spark, path, df.schema), action)()
 
 
 def test_malformed_value_fails(spark, tmp_path):
@@ -235,6 +259,105 @@ def test_day_column_serves_only_its_own_time(spark):
     assert ids(on_day(published, "pickup_datetime", two)) == []
 
 
+def test_a_changed_time_is_filtered_by_itself(spark):
+    times = [dt.datetime(2021, 1, 1, 23, 50), dt.datetime(2021, 1, 2, 12)]
+    df = spark.createDataFrame(list(enumerate(times)), "id int, t timestamp_ntz")
+    name = f"{fresh_database(spark)}.t"
+    published = tables.publish_by_day(df, name, "t")
+    later = published.withColumn("t", F.col("t") + F.expr("interval 1 hour"))
+    assert ids(on_day(later, "t", dt.date(2021, 1, 2))) == [0, 1]
+    again = tables.publish_by_day(later, name, "t")
+    assert again.columns.count("pickup_date") == 1
+    assert ids(on_day(again, "t", dt.date(2021, 1, 2))) == [0, 1]
+
+
+def test_a_failed_publish_leaves_the_old_table(spark):
+    name = f"{fresh_database(spark)}.t"
+    df = spark.createDataFrame([(1, dt.datetime(2021, 1, 1))], "id int, t timestamp_ntz")
+    tables.publish_by_day(df, name, "t")
+    broken = df.withColumn("id", F.raise_error(F.lit("boom")).cast("int"))
+    for publish in (
+        lambda: tables.publish_by_day(broken, name, "t"),
+        lambda: tables.replace_table(broken, name),
+        lambda: tables.publish_clustered(broken, name, "t", "id", "day"),
+    ):
+        with pytest.raises(Exception, match="boom"):
+            publish()
+        assert ids(spark.table(name)) == [1]
+        assert ids(on_day(spark.table(name), "t", dt.date(2021, 1, 1))) == [1]
+    database = name.partition(".")[0]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+def test_refresh_replaces_only_its_days(spark):
+    rows = [(1, dt.datetime(2021, 1, 1)), (2, dt.datetime(2021, 1, 2)), (3, dt.datetime(2021, 2, 1))]
+    df = spark.createDataFrame(rows, "id int, t timestamp_ntz")
+    name = f"{fresh_database(spark)}.t"
+    tables.publish_by_day(df, name, "t")
+    new = [(dt.datetime(2021, 1, 2, 5), 20), (dt.datetime(2021, 1, 2, 6), 21), (dt.datetime(2021, 3, 1), 4)]
+    after = tables.refresh_days(spark.createDataFrame(new, "t timestamp_ntz, id int"), name, "t")
+    assert ids(after) == [1, 3, 4, 20, 21]
+    assert ids(on_day(after, "t", dt.date(2021, 1, 2))) == [20, 21]
+
+
+def test_months_with_other_columns_make_one_table(spark, tmp_path):
+    root, target = f"{tmp_path}/csv", f"{tmp_path}/lake"
+    spec = DatasetSpec("cab", "pickup", {**SPEC.types, "sr_flag": T.IntegerType()})
+    put(f"{root}/cab_tripdata_2021-01.csv", "id,pickup", "1,2021-01-03 10:00:00")
+    put(f"{root}/cab_tripdata_2021-02.csv", "id,pickup,SR_Flag", "2,2021-02-03 10:00:00,5")
+    for month in (1, 2):
+        day = dt.date(2021, month, 1)
+        pipelines.backfill(spark, spec, root, target, day, day)
+    database = fresh_database(spark)
+    source = pipelines.lake_sources(spark, target, database, {"cab": spec})["cab"]
+    assert {(r["id"], r["SR_Flag"]) for r in source.collect()} == {(1, None), (2, 5)}
+    table = pipelines.publish_registry(spark, {"cab": source}, database, {"cab": spec})
+    assert table.count() == 2
+    spark.range(3).selectExpr("cast(id as string) id").write.parquet(f"{target}/cab/month=2021-03")
+    with pytest.raises(ValueError, match="column id"):
+        pipelines.lake_sources(spark, target, database, {"cab": spec})
+    assert external_table(spark, f"{database}.part", f"{target}/cab", drop=["ID"]).count() == 5
+
+
+def test_stream_backfill_and_regrouping_share_a_folder(spark, tmp_path):
+    root, target = f"{tmp_path}/csv", f"{tmp_path}/lake"
+    month_file(root, "2021-01", 1, 2)
+    month_file(root, "2021-02", 3)
+    jan, feb = dt.date(2021, 1, 1), dt.date(2021, 2, 1)
+
+    def stream():
+        land_new_files(spark, root, SCHEMA, f"{target}/cab", f"{tmp_path}/progress", 1)
+        return ids(read_lake(spark, f"{target}/cab"))
+
+    assert stream() == [1, 2, 3]
+    month_file(root, "2021-03", 4, 5)
+    pipelines.backfill(spark, SPEC, root, target, jan, feb)
+    assert ids(read_lake(spark, f"{target}/cab")) == [1, 2, 3]
+    assert stream() == [1, 2, 3, 4, 5]
+    raw = spark.createDataFrame([(6, dt.datetime(2021, 4, 1), 1.0)], SCHEMA)
+    lake.land_raw(raw, target, "cab_tripdata_2021-04")
+    lake.regroup_raw(spark, target, "cab", "pickup")
+    assert ids(read_lake(spark, f"{target}/cab")) == [1, 2, 3, 4, 5, 6]
+
+
+def test_write_settings_survive_writes_side_by_side(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    one, two = layout.many_directories(spark), layout.many_directories(spark)
+    one.__enter__()
+    two.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(key) == "16k"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
+
+
+def test_files_of_one_task_are_in_order_of_their_numbers(spark):
+    names = [f"file:/d/part-00000-u-c{n:03d}.snappy.parquet" for n in (0, 101, 999, 1000, 1001)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, f string")
+    assert [r["id"] for r in df.orderBy(*ordinal._file_order("f")).collect()] == [0, 1, 2, 3, 4]
+
+
 def test_batches_concatenate(spark):
     name = f"{fresh_database(spark)}.t"
     batches = [spark.range(5), spark.range(5, 9), spark.range(0)]
@@ -434,7 +557,7 @@ def test_jdbc_options_and_count_check(spark, monkeypatch):
     properties = {"user": "u", "driver": "d"}
     assert jdbc.publish_jdbc(spark.range(4), "jdbc:x", "t", properties) == 4
     assert stored["mode"] == "overwrite"
-    assert stored["properties"] == {**properties, "batchsize": "100000"}
+    assert stored["properties"] == {**properties, "batchsize": "100000", "numPartitions": "8"}
     stored["rows"] = 5
     with pytest.raises(RowCountMismatch):
         jdbc.publish_jdbc(spark.range(4), "jdbc:x", "t", properties)
@@ -458,11 +581,14 @@ def test_cluster_without_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace(Session())
+    Conf.get = lambda self, key, default=None: {"spark.master": "yarn", "spark.checkpoint.dir": "file:///tmp/x"}[key]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace(Session())
 
 
 def test_splits_and_partitions_grow_with_the_input():
     assert shuffle_partitions(1) == 8
     assert shuffle_partitions(1024**4) == 8192
     assert split_bytes(1024**4) == 128 * 1024**2
-    assert shuffle_partitions(100 * 1024**4) == 20_000
+    assert shuffle_partitions(100 * 1024**4) == 200_000
     assert 500 * 1024**2 < split_bytes(100 * 1024**4) < 600 * 1024**2
