@@ -19,6 +19,7 @@ TYPES = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 
