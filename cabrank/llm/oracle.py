@@ -1,3 +1,180 @@
-"""SQL of the llm queries that DuckDB can express."""
+"""SQL of the llm queries that DuckDB can express, over whole tables.
 
-ORACLE: dict[str, str] = {}
+Record files and tokenizer ids (3, 4), byte models (5) and hashed n-gram models (10) have no SQL;
+the tests compare these queries with brute-force versions.
+"""
+
+from __future__ import annotations
+
+from cabrank.llm import licenses, shards
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _low(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+def _alnum_words(text: str) -> str:
+    return rf"regexp_extract_all({_low(text)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _blank_words(text: str) -> str:
+    return rf"regexp_extract_all({_low(text)}, '[^\x20\x09-\x0D]+')"
+
+
+def _uniform(name: str) -> str:
+    digits = f"('0x' || substr(md5(concat_ws('|', k, '{name}')), 1, 13))::BIGINT"
+    return f"(({digits} + 0.5::DOUBLE) / {2.0**52}::DOUBLE)"
+
+
+def _draw(node: shards.Node) -> str:
+    """The child of the lowest draw, by its name where draws are equal."""
+    children = node.children
+    if len(children) == 1:
+        return f"'{children[0].name}'"
+    draws = ", ".join(
+        f"{{'d': -ln({_uniform(c.name)}) / {float(c.weight)}::DOUBLE, 'n': '{c.name}'}}" for c in children
+    )
+    return f"list_min([{draws}]).n"
+
+
+def _level(at: str, nodes: list[shards.Node]) -> str:
+    return "CASE " + " ".join(f"WHEN {at} = '{n.name}' THEN {_draw(n)}" for n in nodes) + " END"
+
+
+def _placed(source: str, tree: shards.Node, prefix: str) -> str:
+    racks = [rack for region in tree.children for rack in region.children]
+    leaves = ", ".join(f"'{leaf.name}': {leaf.shard}" for rack in racks for leaf in rack.children)
+    region, rack = f"{prefix}region", f"{prefix}rack"
+    return f"""
+        SELECT *, CAST((MAP {{{leaves}}})[leaf] AS INTEGER) AS {prefix}shard FROM (
+            SELECT *, {_level(rack, racks)} AS leaf FROM (
+                SELECT *, {_level(region, list(tree.children))} AS {rack} FROM (
+                    SELECT *, {_draw(tree)} AS {region} FROM {source})))
+    """
+
+
+# crc32, byte by byte over a table of 256 entries that is computed first.
+_CRC = """
+bits AS (
+    SELECT i AS b, list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)
+), tab AS (SELECT list(c ORDER BY b) AS t FROM bits)
+"""
+_CRC_OF = """
+xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bytes),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))
+"""
+
+_OP1 = f"""
+WITH {_CRC}, raw AS (
+    SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), docs AS (
+    SELECT doc_id, k, CAST(length(h) // 2 + 8 AS BIGINT) AS size,
+        list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes
+    FROM raw
+), summed AS (SELECT doc_id, k, size, CAST({_CRC_OF} AS BIGINT) AS text_crc32 FROM docs, tab),
+grown AS ({_placed("summed", shards.tree_of(25), "grown_")}),
+placed AS ({_placed("(SELECT * EXCLUDE (leaf) FROM grown)", shards.tree_of(24), "")}),
+dealt AS (
+    SELECT *, ('0x' || substr(md5(concat_ws('|', k, text_crc32, size)), 1, 8))::BIGINT
+        % {shards.BUCKETS} AS bucket
+    FROM placed
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+    grown_shard, region, rack
+FROM dealt
+"""
+
+_TEMPLATES = ", ".join(
+    f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES)
+)
+_STRIDE = max(len(licenses.words_of(text.encode())) for _, text in licenses.TEMPLATES)
+_PLACES = " UNION ALL ".join(
+    f"""SELECT d, i AS place, '{label}' AS label FROM docs, unnest(range(len(w))) AS u(i)
+        WHERE w[i + 1 : i + {len(phrase.split())}] = {phrase.split()}"""
+    for phrase, label in licenses.PHRASES
+)
+
+_OP7 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, {_alnum_words("text")} AS w FROM documents
+), places AS ({_PLACES}),
+templates AS (
+    SELECT t, label, list_distinct({_alnum_words("body")}) AS tokens
+    FROM (VALUES {_TEMPLATES}) AS v(t, label, body)
+), blocks AS (
+    SELECT d, start, list_distinct(w[start + 1 : start + {2 * _STRIDE}]) AS block
+    FROM docs, unnest(range(0, len(w), {_STRIDE})) AS u(start)
+), matches AS (
+    SELECT d, label, len(list_intersect(tokens, block)) / len(tokens) AS share
+    FROM blocks, templates
+    WHERE len(list_intersect(tokens, block)) >= ceil({licenses.THRESHOLD} * len(tokens) - 1e-9)
+), base AS (
+    SELECT d, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM places GROUP BY d
+), both_labels AS (
+    SELECT d, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+    FROM (SELECT d, label, 0.0::DOUBLE AS share FROM places UNION ALL SELECT d, label, share FROM matches)
+    GROUP BY d
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN base USING (d) LEFT JOIN both_labels USING (d)
+"""
+
+_OP8 = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_blank_words("text")} AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w]
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i : i + 1])) END AS s
+    FROM docs
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id != b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS seen FROM documents
+    UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.seen
+), least AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
+
+_OP9 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, {_alnum_words("text")} AS w FROM documents
+), items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_alnum_words("text")} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(10, len(w)) AS size, w[i : i + least(10, len(w)) - 1] AS gram
+    FROM items, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT d, i, size, w[i : i + size - 1] AS gram
+    FROM docs, sizes, unnest(range(1, len(w) - size + 2)) AS u(i)
+), hits AS (SELECT d, i, p.size, item FROM places p JOIN windows USING (size, gram)),
+covered AS (
+    SELECT d, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(size)) AS u(k) GROUP BY d
+), found AS (
+    SELECT d, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+    FROM hits GROUP BY d
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (d) LEFT JOIN found USING (d)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_weighted_hash_tree": _OP1,
+    "op7_license_containment": _OP7,
+    "op8_multi_index_hamming": _OP8,
+    "op9_decontaminate_windows": _OP9,
+}
