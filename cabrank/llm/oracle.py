@@ -6,7 +6,7 @@ the tests compare these queries with brute-force versions.
 
 from __future__ import annotations
 
-from cabrank.llm import licenses, shards
+from cabrank.llm import licenses, secrets, shards
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -172,7 +172,74 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN covered USING (d) LEFT JOIN found USING (d)
 """
 
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_NAMES = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+_ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _matches(pattern: str, rank: int) -> str:
+    """Each match of a pattern with its start: what stands between and before it, added up."""
+    p = _quoted(pattern)
+    return f"""
+        SELECT d, {rank} AS rank, m[i] AS body, CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS place
+        FROM (SELECT d, regexp_extract_all(t, {p}) AS m, regexp_split_to_array(t, {p}) AS g
+              FROM docs WHERE regexp_matches(t, {p})), unnest(range(1, len(m) + 1)) AS u(i)
+    """
+
+
+_KINDS = ", ".join(f"({i}, '{kind}')" for i, kind in enumerate(secrets.KINDS))
+_ALLOWED = " OR ".join(f"regexp_matches(body, {_quoted(p)})" for p in secrets.ALLOWED)
+_CLASS = " ".join(
+    f"WHEN regexp_full_match(body, '{c.pattern}') THEN {{'rank': {3 + i}, 'bits': {c.bits}::DOUBLE}}"
+    for i, c in enumerate(secrets.CLASSES)
+)
+_W = secrets.WINDOW
+
+_OP2 = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS t FROM documents),
+assign AS ({_matches(_ASSIGN, 0)}), access AS ({_matches(secrets.ACCESS, 1)}), hex AS ({_matches(secrets.HEX, 2)}),
+runs AS (
+    SELECT d, place, body, CASE {_CLASS} END AS class
+    FROM ({_matches(secrets.CANDIDATE, 3)}) WHERE NOT ({_ALLOWED})
+), letters AS (
+    SELECT d, place, class, i, unnest(string_split(substr(body, i, {_W}), '')) AS letter
+    FROM runs, unnest(range(1, length(body) - {_W} + 2)) AS u(i)
+), rated AS (
+    SELECT d, place, class, i, -sum(n / {_W} * log2(n / {_W})) AS bits
+    FROM (SELECT d, place, class, i, letter, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL
+), spans AS (
+    SELECT d, rank, place AS s, place + length(body) AS e FROM assign
+    WHERE length(regexp_extract(body, {_quoted(_ASSIGN)}, 2)) >= {secrets.ASSIGN_LENGTH}
+    UNION ALL SELECT d, rank, place, place + length(body) FROM access
+    UNION ALL SELECT d, rank, place, place + length(body) FROM hex
+    UNION ALL SELECT d, class.rank, place + min(i) - 1, place + max(i) - 1 + {_W}
+    FROM rated WHERE bits >= class.bits - 1e-9 GROUP BY d, place, class
+), said AS (
+    SELECT d, rank, s, concat_ws(':', kind, s, e) AS said
+    FROM spans JOIN (VALUES {_KINDS}) AS k(rank, kind) USING (rank)
+), listed AS (
+    SELECT d, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+        count(*) FILTER (rank = 2) AS n_hex, string_agg(said, ',' ORDER BY s, rank) AS spans,
+        string_agg(said, ',' ORDER BY s, rank) FILTER (rank < 3) AS base
+    FROM said GROUP BY d
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+    coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (d)
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_entropy_secrets": _OP2,
     "op1_weighted_hash_tree": _OP1,
     "op7_license_containment": _OP7,
     "op8_multi_index_hamming": _OP8,
