@@ -6,7 +6,7 @@ the tests compare these queries with brute-force versions.
 
 from __future__ import annotations
 
-from cabrank.llm import licenses, secrets, shards
+from cabrank.llm import divergence, licenses, secrets, shards
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -238,9 +238,82 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (d)
 """
 
+_PEELED = "".join(
+    f", q{i} AS (SELECT *, regexp_replace(r{i}, {_quoted(pattern)}, '', 'g') AS r{i + 1} FROM q{i - 1})"
+    if i
+    else f", q0 AS (SELECT *, regexp_replace(r0, {_quoted(pattern)}, '', 'g') AS r1 FROM docs)"
+    for i, (_, pattern) in enumerate(divergence.CHAR_CLASSES)
+)
+_N = len(divergence.CHAR_CLASSES)
+_CHARS = ", ".join(f"length(r{i}) - length(r{i + 1})" for i in range(_N)) + f", length(r{_N})"
+_LISTS = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in divergence._word_lists().items()) + "}"
+_SAME = "len(list_filter(low, lambda x: x = c))"
+
+
+def _distance(own: str, ref: str) -> str:
+    """Square root of half the summed divergences from the mean, over the bins of two lists."""
+    part = lambda x, y: f"CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({x} + {y})) ELSE 0 END"
+    p, q = f"{own}[i]", f"{ref}[i]"
+    total = f"list_sum(list_transform(range(1, len({own}) + 1), lambda i: {part(p, q)} + {part(q, p)}))"
+    return f"round(sqrt(greatest({total} / 2, 0)), 6)"
+
+
+_OP6 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS r0,
+        CASE WHEN lower(lang) IN {tuple(divergence.COMMON_WORDS)} THEN lower(lang) ELSE 'other' END AS lang,
+        regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+    FROM documents
+){_PEELED},
+windows AS (
+    SELECT d, i, w[i : i + 7] AS gram FROM docs, unnest(range(1, len(w) - 6)) AS u(i)
+), twice AS (SELECT d, gram FROM windows GROUP BY d, gram HAVING count(*) > 1),
+repeats AS (
+    SELECT d, count(DISTINCT i + k) AS n_repeat_words
+    FROM windows JOIN twice USING (d, gram), unnest(range(8)) AS v(k) GROUP BY d
+), counted AS (
+    SELECT d, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(r0) - length(r2) + length(r3) AS BIGINT) AS word_chars,
+        CAST(length(r5) - length(r6) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words,
+        [{_CHARS}] AS chars, list_transform(w, lambda x: lower(x)) AS low
+    FROM q{_N - 1} LEFT JOIN repeats USING (d)
+), binned AS (
+    SELECT *, n_words < {divergence.LEAST_WORDS}
+            OR 100 * n_repeat_words > {divergence.REPEAT_PERCENT} * n_words AS base_failed,
+        list_transform(({_LISTS})[lang], lambda c: {_SAME}) AS found
+    FROM counted
+), shares AS (
+    SELECT *, list_transform(chars, lambda x: x / greatest(list_sum(chars), 1)) AS c,
+        list_transform(list_append(found, n_words - list_sum(found)), lambda x: x / greatest(n_words, 1)) AS s
+    FROM binned
+), usable AS (SELECT * FROM shares WHERE NOT base_failed AND n_words >= {divergence.MIN_WORDS}),
+char_refs AS (
+    SELECT lang, list(m ORDER BY i) AS ref_c
+    FROM (SELECT lang, i, avg(c[i]) AS m FROM usable, unnest(range(1, len(c) + 1)) AS u(i) GROUP BY lang, i)
+    GROUP BY lang
+), word_refs AS (
+    SELECT lang, list(m ORDER BY i) AS ref_s
+    FROM (SELECT lang, i, avg(s[i]) AS m FROM usable, unnest(range(1, len(s) + 1)) AS u(i) GROUP BY lang, i)
+    GROUP BY lang
+), far AS (
+    SELECT *, {_distance("c", "ref_c")} AS char_distance, {_distance("s", "ref_s")} AS word_distance
+    FROM shares LEFT JOIN char_refs USING (lang) LEFT JOIN word_refs USING (lang)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
+    word_distance, NOT base_failed AND NOT (n_words >= {divergence.MIN_WORDS}
+        AND coalesce(char_distance > {divergence.MAX_CHAR_DISTANCE}
+            OR word_distance > {divergence.MAX_WORD_DISTANCE}, false)) AS kept
+FROM far
+"""
+
 ORACLE: dict[str, str] = {
     "op2_entropy_secrets": _OP2,
     "op1_weighted_hash_tree": _OP1,
+    "op6_distribution_divergence": _OP6,
     "op7_license_containment": _OP7,
     "op8_multi_index_hamming": _OP8,
     "op9_decontaminate_windows": _OP9,
