@@ -1,6 +1,6 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A text's set of shingles becomes a signature of ``SYMBOLS`` MinHash symbols of 16 bits. Two sets of
+A text's set of shingles becomes a signature of ``SYMBOLS`` MinHash symbols of 14 bits. Two sets of
 Jaccard similarity s agree in each symbol with probability s, so similar sets have signatures at a
 small distance (number of symbols that differ). The signature is split into ``CHUNKS`` chunks. By
 the pigeonhole principle two signatures at a distance below 2 * CHUNKS have a chunk with at most
@@ -12,12 +12,15 @@ Equal sets are joined first and go on as one node, the smallest doc_id. Of a buc
 one key) only links that can join components matter:
 
 1. each node against a leader, which each bucket picks by its own hash, the closest one first;
-2. the other pairs of node and leader, as far as they are still in different components;
-3. every pair in a bucket that is still in different components.
+2. the other pairs of node and leader, as far as they are still in different components (of a
+   node's buckets with more than ``SMALL`` nodes, only one counts here);
+3. every pair that is still in different components: in a bucket of up to ``SMALL`` nodes as a
+   join whose condition includes the signature distance; larger buckets are put together, with
+   all that share nodes, and their nodes compared in tiles, which return links only.
 
 A candidate pair is confirmed on the full sets. What is left out are pairs already known to be in
-one component, so a group of n near copies costs about n confirmations for each of its keys, not
-n * n, and no link between components is lost.
+one component. So the rows that are made grow with the nodes, not with the square of a group's
+size, a task holds the sets of two blocks of nodes at most, and no link between components is lost.
 
 Lists of keys and nodes are broadcast as arrays up to ``BROADCAST`` entries of 8 or 16 bytes, and
 joined by shuffles beyond that.
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +48,9 @@ from cabrank.llm.components import components
 
 SYMBOLS, CHUNKS = 72, 12
 WIDTH = SYMBOLS // CHUNKS
+# A bucket of more nodes is compared in tiles, of up to about twice BLOCK nodes.
+SMALL = 64
+BLOCK = 512
 # Beyond this distance a pair of similarity 0.8 (mean 14.4, deviation 3.4) is out of the question.
 MAX_DISTANCE = 36
 SHINGLE = 2
@@ -57,12 +63,16 @@ _A, _B, _C, _D = (
     for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0x165667B19E3779F9)
 )
 _MASK = (1 << 63) - 1
+# Four symbols share 60 bits of a long, in lanes of 15 with the highest bit free.
+LANES = 4
+_ONES = sum(0x3FFF << 15 * i for i in range(LANES))
+_HIGH = sum(0x4000 << 15 * i for i in range(LANES))
 
 SIGNED = T.StructType(
     [
         T.StructField("n_shingles", T.LongType()),
         T.StructField("set_digest", T.BinaryType()),
-        T.StructField("signature", T.BinaryType()),
+        T.StructField("signature", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -97,12 +107,35 @@ def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
     return sets
 
 
-def signature(hashes: np.ndarray, by: np.ndarray) -> bytes:
-    """The low 16 bits of the least product for each multiplier, from a set that is not empty."""
+def symbols(hashes: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """14 bits of the least product for each multiplier, from a set that is not empty."""
     least = np.full(len(by), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(hashes), 2048):
         least = np.minimum(least, (by[:, None] * hashes[None, start : start + 2048]).min(axis=1))
-    return (least >> np.uint64(20)).astype("<u2").tobytes()
+    return ((least >> np.uint64(20)) & np.uint64(0x3FFF)).astype(np.int64)
+
+
+def packed(signature: np.ndarray) -> np.ndarray:
+    """Symbols (in the last axis) in lanes of longs."""
+    lanes = signature.reshape(*signature.shape[:-1], -1, LANES)
+    return (lanes << (15 * np.arange(LANES))).sum(axis=-1)
+
+
+def unpacked(longs: np.ndarray) -> np.ndarray:
+    lanes = longs[..., None] >> (15 * np.arange(LANES)) & 0x3FFF
+    return lanes.reshape(*longs.shape[:-1], -1)
+
+
+def distance(one: str, two: str) -> Column:
+    """How many symbols of two packed signatures differ, as a Spark expression.
+
+    A lane of the xor plus 0x3FFF has its highest bit set unless it is 0.
+    """
+    total = F.lit(0)
+    for i in range(SYMBOLS // LANES):
+        x = F.get(F.col(one), F.lit(i)).bitwiseXOR(F.get(F.col(two), F.lit(i)))
+        total = total + F.bit_count((x + F.lit(_ONES)).bitwiseAND(F.lit(_HIGH)))
+    return total
 
 
 def _signed(texts: list[bytes], width: int) -> list[pa.Array]:
@@ -111,7 +144,7 @@ def _signed(texts: list[bytes], width: int) -> list[pa.Array]:
     return [
         pa.array(map(len, sets), pa.int64()),
         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-        pa.array([signature(s, by) if len(s) else b"" for s in sets], pa.binary()),
+        pa.array([packed(symbols(s, by)) if len(s) else [] for s in sets], pa.list_(pa.int64())),
     ]
 
 
@@ -124,24 +157,24 @@ def signed(docs: DataFrame, text: str, width: int = SHINGLE, keep: list[str] | N
     return append(docs, [text], compute, SIGNED, keep)
 
 
-def chunk_keys(signatures: list[bytes]) -> np.ndarray:
-    """A row of keys for each signature: each chunk under all its symbols but one."""
-    symbols = np.frombuffer(b"".join(signatures), "<u2").astype(np.uint64)
-    symbols = symbols.reshape(len(signatures), CHUNKS, WIDTH)
+def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+    """A row of keys for each row of symbols: each chunk under all its symbols but one."""
+    chunks = signatures.astype(np.uint64).reshape(len(signatures), CHUNKS, WIDTH)
     keys = np.empty((len(signatures), CHUNKS, WIDTH), np.uint64)
     chunk = np.arange(CHUNKS, dtype=np.uint64)[None, :]
     for left_out in range(WIDTH):
         key = (chunk * np.uint64(WIDTH) + np.uint64(left_out + 1)) * _D
         for j in range(WIDTH):
             if j != left_out:
-                key = _mixed(key * _A + symbols[:, :, j] * _B)
+                key = _mixed(key * _A + chunks[:, :, j] * _B)
         keys[:, :, left_out] = key
-    return keys.reshape(len(signatures), -1).view(np.int64)
+    return keys.reshape(len(signatures), CHUNKS * WIDTH).view(np.int64)
 
 
 def _key_batch(batch: pa.RecordBatch, among: np.ndarray | None) -> pa.RecordBatch:
     """(key, node) of a batch of (node, signature), all or those ``among`` some sorted keys."""
-    keys = chunk_keys(batch.column(1).to_pylist()).ravel()
+    longs = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, SYMBOLS // LANES)
+    keys = chunk_keys(unpacked(longs)).ravel()
     nodes = np.repeat(batch.column(0).to_numpy(), CHUNKS * WIDTH)
     if among is not None:
         at = np.searchsorted(among, keys)
@@ -160,18 +193,18 @@ def index_keys(nodes: DataFrame, among=None) -> DataFrame:
 
 
 def buckets_of(nodes: DataFrame, bound: int = BROADCAST) -> DataFrame:
-    """(key, node, leader) of every key that at least two nodes share, written."""
+    """(key, node, leader, n) of every key that at least two nodes share, written; n is how many."""
     spark = nodes.sparkSession
     code = F.col("node").bitwiseXOR(F.col("key").bitwiseAND(F.lit(_MASK)))
     shared = (
         index_keys(nodes)
         .select("key", code.alias("code"))
         .groupBy("key")
-        .agg(F.min("code").alias("low"), F.max("code").alias("high"))
+        .agg(F.min("code").alias("low"), F.max("code").alias("high"), F.count("*").alias("n"))
         .where("low != high")
     )
     leader = F.col("low").bitwiseXOR(F.col("key").bitwiseAND(F.lit(_MASK)))
-    shared = written(shared.select("key", leader.alias("leader")), "shared-keys")
+    shared = written(shared.select("key", leader.alias("leader"), "n"), "shared-keys")
     if shared.count() <= bound:
         among = np.sort(shared.select("key").toArrow()["key"].to_numpy())
         own = index_keys(nodes, spark.sparkContext.broadcast(among))
@@ -214,19 +247,8 @@ def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
     two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
     both = pairs.join(one, "a").join(two, "b")
-
-    def compute(left: pa.Array, right: pa.Array) -> list[pa.Array]:
-        return [_distances(as_bytes(left), as_bytes(right))]
-
-    added = T.StructType([T.StructField("distance", T.IntegerType())])
-    return append(both, ["sig_a", "sig_b"], compute, added, keep=["a", "b"]).where(
-        F.col("distance") <= MAX_DISTANCE
-    )
-
-
-def _distances(left: list[bytes], right: list[bytes]) -> pa.Array:
-    one, two = (np.frombuffer(b"".join(x), "<u2").reshape(-1, SYMBOLS) for x in (left, right))
-    return pa.array((one != two).sum(axis=1).astype(np.int32))
+    rated = both.select("a", "b", distance("sig_a", "sig_b").alias("distance"))
+    return rated.where(F.col("distance") <= MAX_DISTANCE)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -248,17 +270,92 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.where(label("a") != label("b")).drop("label_a", "label_b")
 
 
-def _mixed_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs of nodes of one bucket that are in different components."""
+def _mixed_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, leader, n, component) of the buckets with nodes of several components."""
     own = buckets.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
+        "key", "node", "leader", "n", F.coalesce("component", "node").alias("component")
     )
     mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    own = written(own.join(mixed.where("low != high").select("key"), "key", "left_semi"), "mixed")
-    one = own.select("key", F.col("node").alias("x"), F.col("component").alias("label_x"))
-    two = own.select("key", F.col("node").alias("y"), F.col("component").alias("label_y"))
-    pairs = one.join(two, "key").where("label_x < label_y")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return written(own.join(mixed.where("low != high").select("key"), "key", "left_semi"), "mixed")
+
+
+def _small_pairs(own: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Near pairs of different components in one bucket, for buckets of few nodes."""
+    signed = written(own.join(nodes.select("node", "signature"), "node"), "small")
+    one = signed.select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "component", "signature")])
+    two = signed.select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "component", "signature")])
+    near = (
+        (one.key == two.key)
+        & (F.col("component_x") < F.col("component_y"))
+        & (distance("signature_x", "signature_y") <= MAX_DISTANCE)
+    )
+    pairs = one.join(two, near)
+    a, b = F.least("node_x", "node_y"), F.greatest("node_x", "node_y")
+    return pairs.select(a.alias("a"), b.alias("b")).distinct()
+
+
+def _tile_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that join components, between the nodes of two blocks (or inside one)."""
+    first, last = rows["low"].iloc[0], rows["high"].iloc[0]
+    left = rows[rows["block"] == first].reset_index(drop=True)
+    right = left if first == last else rows[rows["block"] == last].reset_index(drop=True)
+    root = {c: c for c in rows["component"]}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    links = []
+    if len(left) and len(right) and len(root) > 1:
+        sets = [np.asarray(s, np.int64) for s in right["shingles"]]
+        sizes = np.array([len(s) for s in sets])
+        hashes = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(hashes, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+        for node, component, shingles in zip(left["node"], left["component"], left["shingles"], strict=True):
+            own = np.asarray(shingles, np.int64)
+            start, end = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+            n = end - start
+            at = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            for i in np.flatnonzero(100 * both >= percent * (len(own) + sizes - both)):
+                other = top(right["component"].iloc[i])
+                if other != top(component):
+                    root[other] = top(component)
+                    links.append((int(node), int(right["node"].iloc[i])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+
+def _large_links(own: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components, among the nodes of large buckets."""
+    # A node ties the leaders of its buckets together, so only leaders have to be connected.
+    tied = written(
+        own.groupBy("node", "component").agg(F.collect_set("leader").alias("leaders")), "tied"
+    ).withColumn("hub", F.array_min("leaders"))
+    edges = tied.select(F.col("hub").alias("a"), F.explode("leaders").alias("b")).distinct()
+    families = components(edges).select(F.col("node").alias("hub"), F.col("component").alias("family"))
+    members = tied.drop("leaders").join(families, "hub")
+    sizes = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(sizes, "family").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "family",
+        "node",
+        "component",
+        "block",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+    )
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        return _tile_links(rows, percent)
+
+    grouped = tiles.join(sets, "node").groupBy("family", "low", "high")
+    return written(grouped.applyInPandas(links, "a long, b long"), "links")
 
 
 def near_links(nodes: DataFrame, docs: DataFrame, text: str, width: int, percent: int, bound: int) -> DataFrame:
@@ -266,7 +363,10 @@ def near_links(nodes: DataFrame, docs: DataFrame, text: str, width: int, percent
     buckets = buckets_of(nodes, bound)
     wanted = buckets.select("node").distinct()
     sets = full_sets(docs, wanted, text, width, bound)
-    stars = buckets.where("node != leader").select(
+    stars = buckets.where("node != leader")
+    small = stars.where(F.col("n") <= SMALL).select("node", "leader")
+    large = stars.where(F.col("n") > SMALL).groupBy("node").agg(F.min_by("leader", "key").alias("leader"))
+    stars = small.union(large).select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
     )
     stars = written(close(stars.distinct(), nodes), "stars")
@@ -276,10 +376,11 @@ def near_links(nodes: DataFrame, docs: DataFrame, text: str, width: int, percent
     labels = components(links)
     second = confirmed(_apart(stars, labels), sets, percent)
     links = links.union(second)
-    labels = components(links)
-    rest = _mixed_pairs(buckets, labels).join(stars, ["a", "b"], "left_anti")
-    third = confirmed(close(rest, nodes), sets, percent)
-    return links.union(third)
+    mixed = _mixed_buckets(buckets, components(links))
+    rest = _small_pairs(mixed.where(F.col("n") <= SMALL), nodes).join(stars, ["a", "b"], "left_anti")
+    third = confirmed(rest, sets, percent)
+    fourth = _large_links(mixed.where(F.col("n") > SMALL), sets, percent)
+    return links.union(third).union(fourth)
 
 
 def near_duplicates(

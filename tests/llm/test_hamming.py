@@ -97,12 +97,12 @@ def test_the_way_without_broadcasts_gives_the_same(spark, chains):
 
 def test_every_pair_within_the_distance_shares_a_key():
     rng = np.random.default_rng(4)
-    one = rng.integers(0, 2**16, hamming.SYMBOLS).astype("<u2")
+    one = rng.integers(0, 2**14, hamming.SYMBOLS)
     for _ in range(500):
         two = one.copy()
         at = rng.choice(hamming.SYMBOLS, 2 * hamming.CHUNKS - 1, replace=False)
         two[at] ^= 1
-        keys = hamming.chunk_keys([one.tobytes(), two.tobytes()])
+        keys = hamming.chunk_keys(np.array([one, two]))
         assert set(keys[0]) & set(keys[1])
 
 
@@ -111,10 +111,29 @@ def test_signatures_estimate_similarity():
     sets = hamming.shingle_sets(texts)
     exact = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
     by = np.random.default_rng(1).integers(1, 2**63, 2000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    one, two = (np.frombuffer(hamming.signature(s, by), "<u2") for s in sets)
+    one, two = (hamming.symbols(s, by) for s in sets)
     assert (one == two).mean() == pytest.approx(exact, abs=0.04)
 
 
+def test_distances(spark):
+    rng = np.random.default_rng(8)
+    one = rng.integers(0, 2**14, (50, hamming.SYMBOLS))
+    two = np.where(rng.random(one.shape) < 0.4, one, rng.integers(0, 2**14, one.shape))
+    two[0], two[1] = one[0], one[1] ^ 0x3FFF
+    assert (hamming.unpacked(hamming.packed(one)) == one).all()
+    rows = [(i, hamming.packed(a).tolist(), hamming.packed(b).tolist()) for i, (a, b) in enumerate(zip(one, two))]
+    df = spark.createDataFrame(rows, "i int, x array<long>, y array<long>")
+    got = dict(map(tuple, df.select("i", hamming.distance("x", "y")).collect()))
+    assert got == {i: int((a != b).sum()) for i, (a, b) in enumerate(zip(one, two))}
+
+
+@pytest.mark.parametrize("small, block", [(2, 7), (2, 1000), (10**6, 5)])
+def test_tiles_and_joins_give_the_same(spark, chains, monkeypatch, small, block):
+    monkeypatch.setattr(hamming, "SMALL", small)
+    monkeypatch.setattr(hamming, "BLOCK", block)
+    check(spark, chains)
+
+
 def test_awkward_rows(spark, tmp_path):
     check(spark, save(awkward(spark), tmp_path))
     assert queries.op8_multi_index_hamming(spark, save(empty(spark), tmp_path)).count() == 0
