@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from cabrank.session import fresh_dir
 
 # Text that one call of a batch function sees; a single longer text is a slice of its own.
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 
 # A-Z to a-z, all other bytes as they are (UTF-8 has no ASCII byte inside other characters).
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -92,6 +92,7 @@ def append(
             for part in slices(batch, at[0]):
                 made = compute(*[part.column(i) for i in at])
                 yield pa.RecordBatch.from_arrays(part.columns[:n_kept] + made, names=names)
+            pa.default_memory_pool().release_unused()  # a reused worker would keep it
 
     narrow = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(sent)])
     plain = T.StructType(

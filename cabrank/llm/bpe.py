@@ -30,7 +30,7 @@ from cabrank.llm.units import UnitTable
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-TABLE_PIECES = 300_000
+TABLE_PIECES = 200_000
 _NONE = 1 << 62
 
 
@@ -180,6 +180,22 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
     return append(df, [text], compute, T.StructType([T.StructField("ids", T.BinaryType())]), keep)
 
 
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """``df`` with ``ids`` and ``decoded``, as ``decode(encode(df))``, in one pass over Python."""
+
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        bpe = loaded(path)
+        ids = bpe.table.ids([t or "" for t in texts.to_pylist()])
+        return [pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())]
+
+    added = T.StructType(
+        [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+    )
+    return append(df, [text], compute, added, keep)
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``df`` with ``decoded``, the text of its ids; null ids decode to an empty text."""
 

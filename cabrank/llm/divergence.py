@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabrank.llm.arrow import col, put, written
+from cabrank.llm.arrow import col, put, without, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 REPEAT_WINDOW = 8
@@ -182,12 +182,19 @@ def judge(
     min_words: int = MIN_WORDS,
     max_char: float = MAX_CHAR_DISTANCE,
     max_word: float = MAX_WORD_DISTANCE,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``df`` with the counts, base_failed, char_distance, word_distance and kept."""
+    """``df`` (or ``keep`` of it) with the counts, base_failed, both distances and kept."""
+    at = {name: f"d{i}" for i, name in enumerate(df.columns)}
+    names = [c for c in without(df, ADDED) if keep is None or c in keep]
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
     )
-    counted = written(put(counts(df, text, lang), base_failed=failed), "divergence")
+    bins = ["ref_lang", "chars", "common"]
+    plain = df.toDF(*at.values())
+    counted = put(counts(plain, at[text], lang and at[lang]), base_failed=failed)
+    own = [at[c] for c in names]
+    counted = written(counted.select(*own, *bins, *ADDED[:6]), "divergence")
     # Five rows at most: the broadcast does not grow with the data.
     joined = counted.join(F.broadcast(references(counted, min_words)), "ref_lang", "left")
     joined = put(
@@ -197,9 +204,8 @@ def judge(
     )
     far = (F.col("char_distance") > max_char) | (F.col("word_distance") > max_word)
     judged = (F.col("n_words") >= min_words) & F.coalesce(far, F.lit(False))
-    names = [c for c in df.columns if c.lower() not in {x.lower() for x in ADDED}]
     out = put(joined, kept=~F.col("base_failed") & ~judged)
-    return out.select(*[col(c) for c in names], *ADDED)
+    return out.select(*own, *ADDED).toDF(*names, *ADDED)
 
 
 ADDED = [

@@ -83,9 +83,7 @@ def op3_length_delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, keep=["doc_id"])
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    return bpe.round_trip(docs, path, keep=["doc_id"]).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -109,7 +107,9 @@ def op5_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return divergence.judge(docs).drop("text", "lang")
+    judged = divergence.judge(docs, keep=["doc_id"])
+    rounded = {c: F.round(c, 6) for c in ("char_distance", "word_distance")}
+    return judged.withColumns(rounded)
 
 
 def op7_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,7 +225,17 @@ def _write_file(
         yield pa.RecordBatch.from_arrays(columns, names=INDEX.fieldNames())
     if out is not None:
         out.close()
-        fs.move(own, _file(root, number))
+        _rename(fs, own, _file(root, number))
+
+
+def _rename(fs: pafs.FileSystem, own: str, final: str) -> None:
+    """Give a complete file its name; where another attempt of the task has, the bytes are equal."""
+    try:
+        fs.move(own, final)
+    except OSError:
+        if fs.get_file_info(final).type != pafs.FileType.File:
+            raise
+        fs.delete_file(own)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

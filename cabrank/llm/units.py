@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-TABLE_UNITS = 400_000
+TABLE_UNITS = 300_000
 LONGEST_KEPT = 64
 
 _BOUNDARY = re.compile(r"(?<=\S)(?= )")

@@ -97,3 +97,5 @@ def test_awkward_rows_and_clashing_names(spark, tmp_path):
     assert [c.lower() for c in out.columns].count("ids") == 1
     assert all(r["decoded"] == (r["text"] or "") for r in out.collect())
     assert bpe.decode(bpe.encode(empty(spark), PATH), PATH).count() == 0
+    both = bpe.round_trip(awkward(spark, ("IDS", "decoded")), PATH)
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, out.select(both.columns).collect()))
