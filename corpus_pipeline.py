@@ -42,14 +42,13 @@ def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(docs.select("doc_id", "text", "lang", "source"), path)
-    decoded = bpe.decode(encoded, path)
+    both = bpe.round_trip(docs.select("doc_id", "text", "lang", "source"), path)
     intact = F.col("decoded") == F.coalesce("text", F.lit(""))
     ids = F.when(intact, F.col("ids")).otherwise(
         F.raise_error(F.concat(F.lit("ids do not decode to the text of document "), F.col("doc_id")))
     )
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
-    return decoded.select("doc_id", "lang", "source", n_tokens, ids.cast("binary").alias("ids"))
+    return both.select("doc_id", "lang", "source", n_tokens, ids.cast("binary").alias("ids"))
 
 
 STAGES = [
