@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabrank.llm.arrow import LOWER, append, as_bytes, col, put, written
+from cabrank.llm.arrow import LOWER, append, as_bytes, col, put, slices, written
 from cabrank.llm.components import components
 
 SYMBOLS, CHUNKS = 72, 12
@@ -215,24 +215,23 @@ def buckets_of(nodes: DataFrame, bound: int = BROADCAST) -> DataFrame:
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text: str, width: int, bound: int = BROADCAST) -> DataFrame:
     """(node, shingles) of the documents whose doc_id is among the wanted nodes, written."""
-    rows = docs.select(F.col("doc_id").alias("node"), col(text).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("node"), col(text).alias("text"))
+    rows = rows.where("node is not null")
     if wanted.count() <= bound:
-        ids = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow()["node"].to_numpy()))
-
-        def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(_among(batch.column(0), ids.value)))
-
-        rows = rows.where("node is not null").mapInArrow(few, rows.schema)
+        ids = np.sort(wanted.toArrow()["node"].to_numpy())
+        among = docs.sparkSession.sparkContext.broadcast(ids)
     else:
-        rows = rows.join(wanted, "node", "left_semi")
+        rows, among = rows.join(wanted, "node", "left_semi"), None
 
-    def compute(texts: pa.Array) -> list[pa.Array]:
-        sets = [s.view(np.int64) for s in shingle_sets(as_bytes(texts), width)]
-        return [pa.array(sets, pa.list_(pa.int64()))]
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if among is not None:
+                batch = batch.filter(pa.array(_among(batch.column(0), among.value)))
+            for part in slices(batch, 1):
+                yield _set_batch(part, width)
+            pa.default_memory_pool().release_unused()
 
-    added = T.StructType([T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return written(append(rows, ["text"], compute, added, keep=["node"]), "sets")
+    return written(rows.mapInArrow(sets, "node long, shingles array<long>"), "sets")
 
 
 def _among(column: pa.Array, ids: np.ndarray) -> np.ndarray:
@@ -242,6 +241,12 @@ def _among(column: pa.Array, ids: np.ndarray) -> np.ndarray:
     return ids[np.minimum(np.searchsorted(ids, own), len(ids) - 1)] == own
 
 
+def _set_batch(part: pa.RecordBatch, width: int) -> pa.RecordBatch:
+    sets = [s.view(np.int64) for s in shingle_sets(as_bytes(part.column(1)), width)]
+    columns = [part.column(0), pa.array(sets, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["node", "shingles"])
+
+
 def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures are near enough, with their distance."""
     one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
