@@ -7,6 +7,12 @@ corrects the sum of c * log2(c) by what these two counts contribute, so a step c
 whatever the window. Candidates that the allow-list matches are left out. The span reported runs
 from the first window that reaches the entropy to the last.
 
+That is the rule that the SQL of op2 states. A name, path or separator glued to a key makes the run
+base64-like, whose entropy few hex keys reach, so redaction scans ``parted`` by default: each
+maximal run of one class is a candidate of its own, the narrower class first, and the allow-list is
+asked about it alone. A hex or upper-case run in which any window reaches the entropy is a secret
+as a whole, so no end of a key is left over.
+
 Positions come from cutting the text at the matches: a match starts where the texts between and
 the matches before it end. They are code points, the end exclusive.
 
@@ -171,6 +177,7 @@ def scan(
     allowed: tuple[str, ...] = ALLOWED,
     classes: tuple[CharacterClass, ...] = CLASSES,
     window: int = WINDOW,
+    parted: bool = False,
 ) -> DataFrame:
     """``df`` with ``secret_spans``: array<struct<start, rank, end, kind>>, sorted."""
     body = F.coalesce(col(text), F.lit(""))
@@ -194,31 +201,46 @@ def scan(
             clear = clear & ~place["body"].rlike(pattern)
         return clear
 
-    candidates = F.filter(_places(body, CANDIDATE), suspicious)
+    def entropic(places: Column, classed, whole: bool = False) -> Column:
+        rated = F.transform(
+            F.filter(places, suspicious),
+            lambda p: F.struct(
+                p["start"].alias("start"),
+                F.length(p["body"]).alias("n"),
+                classed(p, lambda c: F.lit(KINDS.index(c.kind))).alias("rank"),
+                classed(p, lambda c: F.lit(c.kind)).alias("kind"),
+                _windows(p["body"], classed(p, lambda c: F.lit(c.bits)), window).alias("w"),
+            ),
+        )
+        return F.transform(
+            F.filter(rated, lambda r: r["w"]["first"] > 0),
+            lambda r: F.struct(
+                (r["start"] + (F.lit(0) if whole else r["w"]["first"] - window)).cast("int").alias("start"),
+                r["rank"].alias("rank"),
+                (r["start"] + (r["n"] if whole else r["w"]["last"])).cast("int").alias("end"),
+                r["kind"].alias("kind"),
+            ),
+        )
+
     def classed(place: Column, give) -> Column:
         chosen = F
         for c in classes:
             chosen = chosen.when(place["body"].rlike(f"^{c.pattern}$"), give(c))
         return chosen
 
-    rated = F.transform(
-        candidates,
-        lambda p: F.struct(
-            p["start"].alias("start"),
-            classed(p, lambda c: F.lit(KINDS.index(c.kind))).alias("rank"),
-            classed(p, lambda c: F.lit(c.kind)).alias("kind"),
-            _windows(p["body"], classed(p, lambda c: F.lit(c.bits)), window).alias("w"),
-        ),
-    )
-    entropy = F.transform(
-        F.filter(rated, lambda r: r["w"]["first"] > 0),
-        lambda r: F.struct(
-            (r["start"] + r["w"]["first"] - window).cast("int").alias("start"),
-            r["rank"].alias("rank"),
-            (r["start"] + r["w"]["last"]).cast("int").alias("end"),
-            r["kind"].alias("kind"),
-        ),
-    )
+    def of_class(i: int) -> Column:
+        """Maximal runs of a class that are not wholly of a narrower one."""
+        run = f"{classes[i].pattern.removesuffix('+')}{{{window},}}"
+        narrower = "|".join(c.pattern for c in classes[:i])
+        places = _places(body, run)
+        if narrower:
+            places = F.filter(places, lambda p: ~p["body"].rlike(f"^(?:{narrower})$"))
+        return entropic(places, lambda _, give: give(classes[i]), whole=i + 1 < len(classes))
+
+    if parted:
+        entropy = F.concat(*[of_class(i) for i in range(len(classes))])
+    else:
+        entropy = entropic(_places(body, CANDIDATE), classed)
     spans = F.concat(
         _whole(assigned, "assign"), _whole(_places(body, ACCESS), "access"), _whole(_places(body, HEX), "hex"), entropy
     )
@@ -234,6 +256,7 @@ def listed(spans: Column) -> Column:
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``df`` with every secret span of the text replaced by ``mark``; columns stay as they are."""
+    options = {"parted": True} | options
     names = df.columns
     plain = df.toDF(*[f"d{i}" for i in range(len(names))])
     body = f"d{names.index(text)}"

@@ -1,3 +1,4 @@
+import collections
 import hashlib
 import math
 import random
@@ -101,3 +102,41 @@ def test_allow_list_is_a_parameter(spark, allowed):
     df = spark.createDataFrame([(1, "wJalrXUtnFEMI7K7MDENGbPxRfiCYzz900", "en", "a", 0)], DOCS)
     spans = secrets.scan(df, allowed=allowed).select(F.size("secret_spans")).head()[0]
     assert spans == (0 if allowed else 1)
+
+
+GLUED = [
+    # text, and the span of the key in it, counted by hand
+    ("KEY=9B3F07A1C64E82D5F01B7C93A6E8452D", "entropy_hex:4:36"),
+    ("key=9B3F07A1C64E82D5F01B7C93A6E8452D", "entropy_hex:4:36"),
+    ("AUTH_KEY=9B3F07A1C64E82D5F01B7C93A6E8452D end", "entropy_hex:9:41"),
+    ("see /9B3F07A1C64E82D5F01B7C93A6E8452D/", "entropy_hex:5:37"),
+    ("NAME=Q7ZK3MW9XB5TR1VD8HN4LC6PY2GJ0SFA", "entropy_upper:5:37"),
+    ("example_KEY=9B3F07A1C64E82D5F01B7C93A6E8452D", "entropy_hex:12:44"),
+]
+
+
+def test_keys_glued_to_a_name_have_a_span_of_their_own(spark):
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, (t, _) in enumerate(GLUED)], DOCS)
+    found = secrets.scan(df, parted=True).select("doc_id", secrets.listed(F.col("secret_spans"))).collect()
+    for doc_id, spans in found:
+        assert GLUED[doc_id][1] in spans.split(",")
+    for text in (r["text"] for r in secrets.redact(df).collect()):
+        assert "[SECRET]" in text and not re.search("[0-9]", text)
+
+
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"])
+def test_random_glued_keys_are_covered_in_full(spark, alphabet):
+    rng = random.Random(5)
+    glue = ["", "KEY=", "key=", "AUTH_KEY=", "/"]
+    texts = [(glue[i % 5], "".join(rng.choices(alphabet, k=32))) for i in range(1000)]
+    df = spark.createDataFrame([(i, g + key, "en", "a", 0) for i, (g, key) in enumerate(texts)], DOCS)
+    whole = collections.Counter()
+    for doc_id, out in secrets.redact(df).select("doc_id", "text").collect():
+        g = texts[doc_id][0]
+        whole[g] += out.endswith("[SECRET]") and g.startswith(out.removesuffix("[SECRET]"))
+    assert all(whole[g] >= 196 for g in glue), whole
+
+
+def test_words_and_names_without_a_key_stay(spark):
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(["Quietly-Walking_Stones/And-Long_Words", "MAXIMUM_ALLOWED_CONNECTIONS=100"])]
+    assert [r["text"] for r in secrets.redact(spark.createDataFrame(rows, DOCS)).collect()] == [r[1] for r in rows]
