@@ -22,6 +22,28 @@ def test_held_out_labels(spark):
     assert sum(good) / len(good) > 0.98 and sum(junk) / len(junk) < 0.05
 
 
+def test_held_out_toxic_labels(spark):
+    """Toxic documents that are otherwise good prose go, and clean ones stay."""
+    folder = f"{TESTDATA}/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rest = labels.where("crc32(cast(doc_id as string)) % 3 != 1")
+    out = resample.classify(docs, rest, keep=["doc_id"])
+    rows = out.join(labels.where("crc32(cast(doc_id as string)) % 3 = 1"), "doc_id").collect()
+    clean = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    toxic = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 1]
+    print(len(clean), sum(clean), len(toxic), sum(toxic))
+    assert sum(clean) / len(clean) > 0.98 and sum(toxic) / len(toxic) < 0.2
+
+
+def test_toxic_words_far_apart_do_not_add_up():
+    table = np.zeros(resample.BUCKETS, np.float32)
+    table[resample.ngrams(b"scum")] = 2.0
+    near, far = (b"scum " + b"plain " * n + b"scum" for n in (50, 500))
+    assert resample._toxicity(resample.ngrams(near), table) == 4.0
+    assert resample._toxicity(resample.ngrams(far), table) == 2.0
+
+
 def test_query_equals_one_process(spark):
     folder = f"{TESTDATA}/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
