@@ -7,8 +7,10 @@ both with ``PRIOR`` occurrences added, so buckets seen too rarely to tell are ne
 importance is the sum of the log ratios of its n-grams over the square root of their number:
 sums of chance differences then spread alike in short and long texts.
 
-Sampling without replacement in proportion to exp(importance) is taking the k largest importances
-after adding independent Gumbel noise. The noise comes from a hash of the doc_id and a seed, so it
+Sampling without replacement in proportion to exp(importance / NOISE) is taking the k largest
+importances after adding independent Gumbel noise times ``NOISE``. At this low temperature the draw
+is nearly a cut: only documents within a few ``NOISE`` of it are drawn by chance, which keeps clean
+documents well above it for certain. The noise comes from a hash of the doc_id and a seed, so it
 is the same on every run. k is the number of documents whose importance reaches what all but
 ``MISSED`` of the labelled good ones reach. Documents outside the sample are rejected.
 

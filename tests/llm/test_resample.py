@@ -92,6 +92,16 @@ def test_top_k_draws_in_proportion_to_the_weights(spark):
         assert row["count"] / 4_000 == pytest.approx((row["item"] + 1) / 10, abs=0.03)
 
 
+def test_noise_of_the_query_draws_by_exp_of_importance_over_noise(spark):
+    """Importances one NOISE times log 3 apart are drawn 1 to 3."""
+    apart = resample.NOISE * float(np.log(3))
+    items = spark.createDataFrame([(0, 0.0), (1, apart)], "item int, importance double")
+    key = F.col("importance") + resample.NOISE * resample.gumbel(F.concat("id", F.lit("-"), "item"), 5)
+    trials = spark.range(4_000).crossJoin(items).withColumn("key", key)
+    first = trials.groupBy("id").agg(F.max_by("item", "key").alias("item"))
+    assert first.agg(F.avg("item")).head()[0] == pytest.approx(0.75, abs=0.03)
+
+
 @pytest.mark.parametrize("values", [[5], [3, 3, 3], [-(10**15), 0, 10**15, 7, 7], list(range(-50, 20_000, 3))])
 def test_kth_largest(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "key long")
