@@ -310,6 +310,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM far
 """
 
+_OP11 = rf"""
+WITH {_CRC}, turns AS (
+    SELECT c, k, w, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i
+    FROM (
+        SELECT conv_id AS c, turn, md5(md5(coalesce(role, '')) || coalesce(text, '')) AS k,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+        FROM conversations WHERE conv_id IS NOT NULL)
+), named AS (
+    SELECT c, list_transform(range(length(h) // 2),
+        lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes
+    FROM (SELECT DISTINCT c, hex(encode(CAST(c AS VARCHAR))) AS h FROM turns)
+), convs AS (SELECT c, c - c % 20 AS base, {_CRC_OF} % 4 AS h FROM named, tab),
+steps AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d, k, w FROM (
+        SELECT v.c, false AS own, t.i, t.k, t.w FROM convs v JOIN turns t ON t.c = v.base AND t.i <= v.h
+        UNION ALL
+        SELECT v.c, true, t.i, t.k, t.w FROM convs v JOIN turns t ON t.c = v.c AND t.i > v.h)
+), paths AS (
+    SELECT c, d, w, md5(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)) AS p FROM steps
+    UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS (
+    SELECT d, p, min(c) AS conv_id, count(*) AS n, any_value(w) AS w FROM paths GROUP BY d, p
+), ends AS (
+    SELECT d, p, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+    FROM paths JOIN (SELECT c, max(d) AS d FROM paths GROUP BY c) USING (c, d) GROUP BY d, p
+), linked AS (
+    SELECT n.*, up.conv_id AS parent_conv_id, up.p AS above
+    FROM nodes n LEFT JOIN paths q ON q.c = n.conv_id AND q.d = n.d - 1
+    LEFT JOIN nodes up ON up.d = q.d AND up.p = q.p
+), children AS (SELECT d - 1 AS d, above AS p, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY 1, 2),
+sums AS (
+    SELECT a.d, a.p, sum((n.n - 1) * n.w) AS saved, count(*) FILTER (k.n_children IS NULL) AS leaves
+    FROM nodes n JOIN paths a ON a.c = n.conv_id AND a.d <= n.d
+    LEFT JOIN children k ON k.d = n.d AND k.p = n.p GROUP BY a.d, a.p
+)
+SELECT conv_id, d AS depth, parent_conv_id, n AS n_convs, coalesce(n_children, 0) AS n_children,
+    CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+    sha256(coalesce(ids, '')) AS ends_sha256
+FROM linked JOIN sums USING (d, p) LEFT JOIN children USING (d, p) LEFT JOIN ends USING (d, p)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_entropy_secrets": _OP2,
     "op1_weighted_hash_tree": _OP1,
@@ -317,4 +358,5 @@ ORACLE: dict[str, str] = {
     "op7_license_containment": _OP7,
     "op8_multi_index_hamming": _OP8,
     "op9_decontaminate_windows": _OP9,
+    "op11_prefix_trie": _OP11,
 }

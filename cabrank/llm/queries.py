@@ -17,7 +17,9 @@ from cabrank.llm import (
     resample,
     secrets,
     shards,
+    trie,
 )
+from cabrank.llm.arrow import written
 from cabrank.session import fresh_dir
 
 SHARDS = 24
@@ -161,6 +163,25 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "importance", "gumbel_key", "kept")
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Each conversation c after the first h turns of conversation c - c % 20, in place of its own."""
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    named = F.col("conv_id").cast("string").cast("binary")
+    heads = turns.where("conv_id % 20 = 0").select(
+        F.col("conv_id").alias("base"), F.slice("steps", 1, 3).alias("head")
+    )
+    own = turns.withColumns({"base": base, "h": (F.crc32(named) % 4).cast("int")})
+    head = F.slice(F.coalesce("head", F.array().cast(turns.schema["steps"].dataType)), F.lit(1), F.col("h"))
+    rest = F.slice("steps", F.col("h") + 1, F.greatest(F.size("steps") - F.col("h"), F.lit(0)))
+    return own.join(heads, "base", "left").select("conv_id", F.concat(head, rest).alias("steps"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.turns_of(table(spark, sf_dir, "conversations"))
+    # Both sides of the join with the base conversations read these, so they are made once.
+    return trie.trie(trie.sequences(rebuilt(written(turns, "turns"))))
+
+
 QUERIES = {
     "op1_weighted_hash_tree": op1_weighted_hash_tree,
     "op2_entropy_secrets": op2_entropy_secrets,
@@ -172,4 +193,5 @@ QUERIES = {
     "op8_multi_index_hamming": op8_multi_index_hamming,
     "op9_decontaminate_windows": op9_decontaminate_windows,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_prefix_trie": op11_prefix_trie,
 }
