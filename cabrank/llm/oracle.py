@@ -6,7 +6,7 @@ the tests compare these queries with brute-force versions.
 
 from __future__ import annotations
 
-from cabrank.llm import divergence, licenses, secrets, shards
+from cabrank.llm import divergence, licenses, secrets, shards, spelling
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -351,6 +351,45 @@ SELECT conv_id, d AS depth, parent_conv_id, n AS n_convs, coalesce(n_children, 0
 FROM linked JOIN sums USING (d, p) LEFT JOIN children USING (d, p) LEFT JOIN ends USING (d, p)
 """
 
+_OP12 = rf"""
+WITH RECURSIVE {_CRC}, runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all({_low("text")}, '{spelling.RUN}')) AS run
+        FROM documents) GROUP BY ALL
+), named AS (
+    SELECT run, n, list_transform(range(length(h) // 2),
+        lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes
+    FROM (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs)
+), hashed AS (SELECT run, n, {_CRC_OF} AS h FROM named, tab),
+words AS (
+    SELECT CASE WHEN h % 97 = 0
+        THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+        ELSE run END AS word, n
+    FROM hashed
+), vocab AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), cuts AS (
+    SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, CAST(unnest(range(length(word))) AS INTEGER) AS i FROM vocab)
+), pairs AS (
+    SELECT a.word AS a, b.word AS b, b.n AS n FROM cuts a JOIN cuts b USING (i, rest) WHERE a.word != b.word
+    UNION SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON v.word = c.rest
+    UNION SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON v.word = c.rest
+), ranked AS (
+    SELECT a AS word, b, n AS form_n, count(*) OVER (PARTITION BY a) AS n_near,
+        row_number() OVER (PARTITION BY a ORDER BY n DESC, encode(b)) AS r
+    FROM pairs
+), judged AS (
+    SELECT v.word, CASE WHEN form_n >= 2 * v.n THEN b END AS form, v.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN form_n >= 2 * v.n THEN form_n END AS form_n
+    FROM vocab v LEFT JOIN (SELECT * FROM ranked WHERE r = 1) USING (word)
+), up AS (
+    SELECT word, word AS root, 0 AS d FROM judged
+    UNION ALL SELECT up.word, j.form, d + 1 FROM up JOIN judged j ON j.word = up.root WHERE j.form IS NOT NULL
+), last AS (SELECT word, arg_max(root, d) AS root FROM up GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN last USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_entropy_secrets": _OP2,
     "op1_weighted_hash_tree": _OP1,
@@ -359,4 +398,5 @@ ORACLE: dict[str, str] = {
     "op8_multi_index_hamming": _OP8,
     "op9_decontaminate_windows": _OP9,
     "op11_prefix_trie": _OP11,
+    "op12_spelling_variants": _OP12,
 }

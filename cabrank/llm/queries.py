@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabrank.llm import (
@@ -17,6 +17,7 @@ from cabrank.llm import (
     resample,
     secrets,
     shards,
+    spelling,
     trie,
 )
 from cabrank.llm.arrow import written
@@ -182,6 +183,20 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(trie.sequences(rebuilt(written(turns, "turns"))))
 
 
+def noisy() -> Column:
+    """``run`` of ``doc_id``, of which the contract's noise may have deleted a letter."""
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("run"))
+    h = F.crc32(name.cast("binary"))
+    at = (h % F.char_length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    return F.when(h % 97 == 0, cut).otherwise(F.col("run"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(spelling.runs(docs), noisy()))
+
+
 QUERIES = {
     "op1_weighted_hash_tree": op1_weighted_hash_tree,
     "op2_entropy_secrets": op2_entropy_secrets,
@@ -194,4 +209,5 @@ QUERIES = {
     "op9_decontaminate_windows": op9_decontaminate_windows,
     "op10_importance_resampling": op10_importance_resampling,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
 }

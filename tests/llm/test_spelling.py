@@ -1,0 +1,116 @@
+import collections
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from cabrank.llm import queries, spelling
+from cabrank.llm.oracle import ORACLE
+from compare import connect, differences
+from conftest import TESTDATA
+from frames import DOCS, awkward, empty, prose, save
+
+LETTERS = [chr(c) for c in spelling.LETTERS.tolist()]
+
+
+def near(a, b):
+    """Exactly one inserted, deleted or replaced code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def words_of(rows):
+    counts = collections.Counter()
+    for doc_id, text in rows:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def brute(vocab):
+    """Every pair of words, compared."""
+    form, close = {}, {}
+    for w in vocab:
+        close[w] = [v for v in vocab if abs(len(v) - len(w)) < 2 and near(v, w)]
+        best = min(close[w], key=lambda v: (-vocab[v], v), default=None)
+        form[w] = best if best and vocab[best] >= 2 * vocab[w] else None
+    out = []
+    for w in vocab:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, vocab[w], len(close[w]), vocab.get(form[w])))
+    return sorted(out, key=repr)
+
+
+def collected(df):
+    assert df.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    return sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+def test_query_equals_sql(spark):
+    folder = f"{TESTDATA}/sf0.01"
+    got = queries.op12_spelling_variants(spark, folder)
+    assert differences(got, connect(folder), ORACLE["op12_spelling_variants"]) is None
+
+
+def test_query_equals_brute_force(spark):
+    folder = f"{TESTDATA}/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    assert collected(queries.op12_spelling_variants(spark, folder)) == brute(words_of(rows))
+
+
+@pytest.fixture(scope="module")
+def chained(spark):
+    """Dense neighbourhoods, chains of forms, ties, repeated letters and a very long word."""
+    rng = random.Random(3)
+    vocab = {}
+    for seed in range(12):
+        word = "".join(rng.choice("abé") for _ in range(7))
+        for step in range(9):
+            vocab[word] = 3 * 2**step
+            at = rng.randrange(len(word))
+            word = rng.choice([word[:at] + word[at + 1 :], word[:at] + rng.choice(LETTERS) + word[at:], word[:at] + rng.choice(LETTERS) + word[at + 1 :]])
+    vocab |= {"aaaaa": 40, "aaaaaa": 40, "aaaaaaa": 9, "aaaab": 40, "baaaa": 40, "zaaaa": 20, "ÿaaaa": 3}
+    vocab |= {"long" * 6000: 3, "long" * 6000 + "x": 6, "long" * 5999 + "lung": 12, "lonely": 5}
+    return vocab
+
+
+@pytest.mark.parametrize("blocks", [spelling.TABLE_BLOCKS, 100, 64])
+def test_one_pass_or_many_give_the_same(spark, chained, blocks):
+    df = spark.createDataFrame(list(chained.items()), "word string, n long").repartition(4)
+    assert collected(spelling.variants(df, table_blocks=blocks)) == brute(chained)
+
+
+def test_every_edit_that_is_a_word_is_generated_once(monkeypatch):
+    monkeypatch.setattr(spelling, "EDITS", 700)  # stretches of long words too
+    words = ["aabba", "aabb", "caabba", "aÿbba", "zabba", "bbbbb", "bbbb", "o" * 40, "o" * 39]
+    shards = spelling.Shards(collections.Counter(map(len, words)))
+    table = np.zeros(shards.total, np.uint64)
+    for w in words:
+        points = spelling.code_points([w])
+        at, mask = shards.places((points * spelling.powers(len(w))).sum(1, dtype=np.uint64), len(w))
+        table[at] |= mask
+    found = collections.Counter((words[i], e) for i, e in spelling.edits(words, shards, table, 0))
+    pairs = {frozenset((a, b)) for a in words for b in words if near(a, b)}
+    exact = [frozenset(p) for p in found.elements() if p[1] in words]
+    assert set(exact) == pairs and len(exact) == len(pairs)
+    assert len(found) < len(pairs) + 20  # few false positives
+
+
+def test_awkward_rows(spark, tmp_path):
+    texts = ["Éléphant elephant Elephants", "x" * 3000, "word" * 800 + " " + prose(5000, 2), "ABCDEFÀ abcdefà ABCDEF×÷"]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts * 3)]
+    df = awkward(spark).union(spark.createDataFrame(rows, DOCS))
+    clashing = df.selectExpr("*", "1 AS word", "2 AS n", "'x' AS form", "3 AS run")
+    folder = save(clashing, tmp_path)
+    want = [(r["doc_id"], r["text"]) for r in df.collect()]
+    assert collected(queries.op12_spelling_variants(spark, folder)) == brute(words_of(want))
+    assert collected(queries.op12_spelling_variants(spark, save(empty(spark), tmp_path))) == []
