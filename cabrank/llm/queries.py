@@ -17,6 +17,7 @@ from cabrank.llm import (
     resample,
     secrets,
     shards,
+    sitetree,
     spelling,
     trie,
 )
@@ -197,6 +198,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(spelling.runs(docs), noisy()))
 
 
+def op13_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return sitetree.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_weighted_hash_tree": op1_weighted_hash_tree,
     "op2_entropy_secrets": op2_entropy_secrets,
@@ -210,4 +216,5 @@ QUERIES = {
     "op10_importance_resampling": op10_importance_resampling,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_site_style_tree": op13_site_style_tree,
 }

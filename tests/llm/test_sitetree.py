@@ -1,0 +1,182 @@
+import collections
+import html as markup
+import math
+import random
+import re
+
+import pytest
+from cabrank.llm import dom, queries, sitetree
+from conftest import TESTDATA
+from frames import prose
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def text_of(html):
+    _, blocks = dom.branches(dom.parse(html), sitetree.MAX_DEPTH)
+    return "\n\n".join(text for text, _ in blocks)
+
+
+def test_query_gives_the_articles_of_the_test_pages(spark):
+    folder = f"{TESTDATA}/sf0.01"
+    want = []
+    for r in spark.read.parquet(f"{folder}/pages.parquet").collect():
+        article = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1].replace("<br>", " ")
+        parts = [re.sub(r"<[^>]+>", "", p) for p in re.split(r"</?(?:p|h1)>", article)]
+        text = "\n\n".join(p for p in (" ".join(markup.unescape(p).split()) for p in parts) if p)
+        want.append((r["page_id"], r["url"], text, len(text)))
+    got = queries.op13_site_style_tree(spark, folder)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<p>one<p>two <b>three</b>four<br>five &amp; &lt;six&gt; &eacute;&#233;&nbsp;x", "one\n\ntwo threefour five & <six> éé x"),
+        ("<html><head><title>t</title><style>p{}</style></head><body><p>x</p><script>var a='</p>';</script>y</body></html>tail", "x\n\ny\n\ntail"),
+        ("<nav><a>m</a></nav><header>h</header><main><header><h1>T</h1></header><p>a</p><aside>s</aside></main><footer>f</footer>", "T\n\na"),
+        ("<div class='wrap has-sidebar'><div class=sidebar>s</div><article class=post><h2>T</h2><div>b <i>c</i></div></article></div>", "T\n\nb c"),
+        ("<form id=page><article><p>a</p><form><input><label>l</label><button>go</button></form></article></form>", "a"),
+        ("<article><p>a</p><section id='comments'><article class='comment'><p>reader</p></article></section><p>b</p></article>", "a\n\nb"),
+        ("<aside><article><p>teaser</p></article></aside><article><p>a</p></article>", "a"),
+        ("<div class='cookie-notice'>c</div><div>a</div><div hidden>h</div><div role=navigation>n</div>", "a"),
+        ("<ul><li>a<li>b <ul><li>c</ul><li>d</ul><dl><dt>e<dd>f</dl>", "a\n\nb\n\nc\n\nd\n\ne\n\nf"),
+        ("<table><tr><td>a<td>b<tr><th>c<td><table><tr><td>d</table>e</table>f", "a\n\nb\n\nc\n\nd\n\ne\n\nf"),
+        ("<h1>a<h2>b</h2></p>c</div>d", "a\n\nb\n\nc\n\nd"),
+        ("a<!-- x > y -->b<!-->c--><!doctype x>d<?php e ?>f", "abdf"),
+        ("<p title='a>b' data-x=it's>a</p><p class=\"ad\">z</p>", "a"),
+        ("<article><p>a</p><p>b <a href='x", "a\n\nb"),
+        ("<article><p>a</p><script>b</p></article>", "a"),
+        ("<article><p>a<!-- open <p>b</article>", "a"),
+        ("a < b &lt c &copy; d &unknown; e", "a < b < c © d &unknown; e"),
+        ("<article></article><p>a</p>", "a"),
+        ("<div class=footer><p>only</p></div>", "only"),
+        ("", ""),
+        (" \n\t&nbsp; ", ""),
+        ("<p></p><div><span> </span></div>", ""),
+    ],
+)
+def test_pages_by_hand(html, want):
+    assert text_of(html) == want
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 3000 + "<p>a</p><nav>n</nav>" + "</div>" * 3000
+    assert text_of(deep) == "a"
+    assert text_of("<article>" + "<p>x <b>y</b>" * 50_000) == "\n\n".join(["x y"] * 50_000)
+    assert text_of("<x 'a" * 100_000) == ""
+    assert len(text_of("</i>" * 50_000 + "a&amp;" * 100_000)) == 200_000
+
+
+def site(rng, n, name="http://site.example/"):
+    """Pages whose boilerplate stands in plain elements, differs a little, and gives no hints."""
+    pages = []
+    for i in range(n):
+        menu = "".join(f"<li>{w}</li>" for w in ("home", "news", "about"))
+        body = "".join(f"<div><div>page{i} {prose(20 + k, i)}</div></div>" for k in range(rng.randrange(1, 4)))
+        mark = rng.choice(["legal one", "legal two"])
+        pages.append(f"<body><div><ul>{menu}</ul></div><div>{body}</div><div><div>{mark}</div></div></body>")
+    return pages
+
+
+def brute_importance(pages):
+    """Importance by recursion over merged block trees, for pages that are no copies."""
+    def kind(x):
+        return "#" if isinstance(x, str) else x.label
+
+    def merged(places, depth):
+        """Composite importance, peak and the removed places of an element, given (page, element)."""
+        m = len(places)
+        if m < sitetree.LEAST_PAGES:
+            return 1.0, 1.0, []
+        texts = [x if isinstance(x, str) else x.items[0] if len(x.items) == 1 and isinstance(x.items[0], str) else None for _, x in places]
+        if texts[0] is not None and None not in texts:
+            values = collections.Counter(texts)
+            own = -sum(c / m * math.log(c / m, m) for c in values.values())
+            return own, own, [places] if own < sitetree.THRESHOLD else []
+        styles = collections.defaultdict(list)
+        for page, x in places:
+            one = isinstance(x, str) or len(x.items) == 1 and isinstance(x.items[0], str)
+            styles[("t", x if isinstance(x, str) else x.items[0]) if one else tuple(map(kind, x.items))].append((page, x))
+        own = -sum(len(v) / m * math.log(len(v) / m, m) for v in styles.values())
+        inner, peak, gone = 0.0, 0.0, []
+        for style, members in styles.items():
+            if style[0] == "t":
+                inner, peak = inner + len(members) / m, 1.0
+                continue
+            for i in range(len(style)):
+                comp, top, out = merged([(p, x.items[i]) for p, x in members], depth + 1)
+                inner += len(members) / m * comp / len(style)
+                peak = max(peak, top)
+                gone += out
+        weight = sitetree.GAMMA ** len(styles)
+        composite = (1 - weight) * own + weight * inner
+        peak = max(peak, composite)
+        return composite, peak, [places] if peak < sitetree.THRESHOLD else gone
+
+    roots = [(i, dom.parse(p, hints=False)) for i, p in enumerate(pages)]
+    _, _, gone = merged(roots, 0)
+    drop = {(page, id(x)) for places in gone for page, x in places if not isinstance(x, str)}
+
+    def texts(page, x):
+        if isinstance(x, str):
+            return [x]
+        return [] if (page, id(x)) in drop else [t for y in x.items for t in texts(page, y)]
+
+    return {page: "\n\n".join(texts(page, root)) for page, root in roots}
+
+
+def test_entropy_removes_undeclared_boilerplate(spark):
+    rng = random.Random(5)
+    pages = site(rng, 120)
+    few = site(rng, 4)
+    rows = [(i, f"http://Site.example:80/{i}", p) for i, p in enumerate(pages)]
+    rows += [(1000 + i, f"//user@small.example/{i}", p) for i, p in enumerate(few)]
+    # Copies of one page of another site do not make it boilerplate.
+    rows += [(2000 + i, "http://copies.example", pages[0]) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(df, hints=False).collect()}
+    want = brute_importance(pages)
+    assert {i: got[i] for i in want} == want
+    assert all("home" not in t and "legal" not in t and f"page{i} " in t for i, t in want.items())
+    assert all("home" in got[1000 + i] for i in range(4))
+    assert all("home" in got[2000 + i] for i in range(60))
+
+
+def test_importance_of_a_small_tree(spark):
+    rng = random.Random(6)
+    rows = [(i, "http://a.example", p) for i, p in enumerate(site(rng, 40))]
+    pages = spark.createDataFrame(rows, SCHEMA).selectExpr("'a' AS site", "html")
+    tree = sitetree.importance(sitetree.style_tree(sitetree.parsed(pages, hints=False))).collect()
+    top = [r for r in tree if r["depth"] == 1]
+    assert len(top) == 3 and all(r["pages"] == 40 for r in top)
+    assert sorted(r["own"] > 0 for r in top) == [False, False, True]
+    assert all(0 <= r["composite"] <= r["peak"] <= 1 for r in tree)
+    same = [r for r in tree if r["leaf"] and r["own"] == 0]
+    assert len(same) == 3  # the menu
+    halves = [r for r in tree if r["leaf"] and 0 < r["own"] < 0.25]
+    assert len(halves) == 1  # one of two texts: log 2 / log 40
+
+
+def test_awkward_rows(spark, tmp_path):
+    rows = [
+        (1, None, None),
+        (2, "http://a.example", None),
+        (None, "http://a.example", ""),
+        (3, "not a url", "<article><p>a</p></article>"),
+        (3, "not a url", "<article><p>a</p></article>"),
+        (4, "http://a.example", "<article>" + "<p>long text</p>" * 30_000),
+        (5, "", "\x00<p>퟿ \U0001f600</p>"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    clashing = df.selectExpr("*", "1 AS text", "2 AS site", "3 AS row", "4 AS `nodes`", "5 AS `c 0`")
+    got = sitetree.extract(clashing)
+    assert got.columns == ["page_id", "url", "site", "row", "nodes", "c 0", "text", "n_chars"]
+    clashing.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    read = queries.op13_site_style_tree(spark, str(tmp_path))
+    want = ["", "", "", "a", "a", "\n\n".join(["long text"] * 30_000), "\x00\n\n퟿ \U0001f600"]
+    assert sorted(r["text"] for r in read.collect()) == sorted(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in read.collect())
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert queries.op13_site_style_tree(spark, f"{tmp_path}/none").count() == 0
