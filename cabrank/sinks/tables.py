@@ -1,105 +1,95 @@
-"""Table publication."""
+"""Table publication. Tables are replaced whole, by versions (``sinks.versions``)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabrank.operators.filters import DAY_COLUMN, with_day_column
-from cabrank.quality import require_key, require_row_count
+from cabrank.quality import require_key, require_new_keys, require_row_count
+from cabrank.session import fresh_dir
+from cabrank.sinks import versions
 from cabrank.sinks.layout import by_group, by_range, many_directories
-from cabrank.sources.tables import OWNED, owns_folder
 
 
-def replace_table(df: DataFrame, table: str, *partition_by: str) -> DataFrame:
+def replace_table(df: DataFrame, table: str, *partition_by: str, key: Iterable[str] = ()) -> DataFrame:
     """Create the table, or replace it whole.
 
-    The new rows are written into a folder of their own, as a table of another name, which then
-    takes the name. So a write that fails leaves the old table as it was, ``df`` may read from it,
-    and no files are moved. The old folder goes last.
+    The new rows are written into a folder of their own, which the table is then pointed at. So a
+    write that fails leaves the old table as it was, ``df`` may read from it, and no files are
+    moved. A ``key`` is checked before, and kept by later appends.
     """
     spark = df.sparkSession
-    run = uuid.uuid4().hex[:12]
-    new, old = f"{table}__new_{run}", f"{table}__old_{run}"
-    path = f"{_database_folder(spark, table)}/{table.rpartition('.')[2]}-{run}"
-    try:
-        df.write.option("path", path).partitionBy(*partition_by).saveAsTable(new)
-        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ('{OWNED}' = 'true')")
-    except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {new}")
-        _delete(spark, path)
-        raise
-    if not spark.catalog.tableExists(table):
-        _rename(spark, new, table)
-        return spark.table(table)
-    folder = _location(spark, table) if owns_folder(spark, table) else None
-    _rename(spark, table, old)
-    try:
-        _rename(spark, new, table)
-    except BaseException:
-        _rename(spark, old, table)
-        raise
-    spark.sql(f"DROP TABLE {old}")
-    if folder:
-        _delete(spark, folder)
-    return spark.table(table)
-
-
-def _rename(spark: SparkSession, table: str, name: str) -> None:
-    """The new name is taken in the table's own catalog, so it must not say which."""
-    spark.sql(f"ALTER TABLE {table} RENAME TO {'.'.join(name.split('.')[-2:])}")
-
-
-def _database_folder(spark: SparkSession, table: str) -> str:
-    names = table.split(".")
-    database = names[-2] if len(names) > 1 else spark.catalog.currentDatabase()
-    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
-
-
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-    return rows.head()["data_type"]
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    key = list(key)
+    with versions.new_version(spark, table) as version:
+        df.write.option("path", version.path).partitionBy(*partition_by).saveAsTable(version.name)
+        if key:
+            require_key(spark.table(version.name), *key)
+            versions.declare_key(spark, version.name, key)
+        return versions.publish(spark, version, table)
 
 
 def replace_dimension(df: DataFrame, table: str, *key: str) -> DataFrame:
-    """Replace a dimension table after checking its key."""
-    return replace_table(require_key(df, *key), table)
+    """Replace a dimension table; its key is checked now and by every append."""
+    return replace_table(df, table, key=key)
 
 
-def create_empty(df: DataFrame, table: str) -> DataFrame:
+def create_empty(df: DataFrame, table: str, key: Iterable[str] = ()) -> DataFrame:
     """Create or replace the table with the schema of ``df`` and no rows."""
-    return replace_table(df.limit(0), table)
+    return replace_table(df.limit(0), table, key=key)
 
 
 def append_table(df: DataFrame, table: str) -> DataFrame:
-    """Append, matching columns by name."""
-    df.write.mode("append").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Append, matching columns by name; a table that is not there is created.
+
+    If the table has a declared key, the batch is written to the shared folder first, and checked
+    there: by itself, and against the keys in the table. A violation fails the append before
+    anything is written to the table. Appends that run side by side do not see each other's keys.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return replace_table(df, table)
+    name = versions.stored(spark, table)
+    key = versions.declared_key(spark, table)
+    if key:
+        path = fresh_dir(spark, "batch")
+        df.write.parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
+        require_new_keys(df, spark.table(name), *key)
+    df.write.mode("append").saveAsTable(name)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
-def load_table(spark: SparkSession, batches: Iterable[DataFrame], table: str) -> int:
+def load_table(
+    spark: SparkSession, batches: Iterable[DataFrame], table: str, key: Iterable[str] = ()
+) -> int:
     """Replace the table with the concatenation of the batches; returns the checked row count.
 
     Each batch is one job over all executors. Loading everything as one batch is the fast way;
-    several serve sources that become available one after another. The rows are counted while
-    they are written, not by reading the source again.
+    several serve sources that become available one after another. The batches are collected in a
+    version that nobody sees until all are in, the rows are as many as were counted while they
+    were written, and the ``key``, if any, holds: a load that fails in between leaves the old table.
     """
-    expected = 0
-    for number, batch in enumerate(batches):
-        if number == 0:
-            create_empty(batch, table)
-        written = Observation()
-        append_table(batch.observe(written, F.count(F.lit(1)).alias("rows")), table)
-        expected += written.get["rows"]
-    return require_row_count(spark, table, expected)
+    expected, key = 0, list(key)
+    with versions.new_version(spark, table) as version:
+        for number, batch in enumerate(batches):
+            if number == 0:
+                batch.limit(0).write.option("path", version.path).saveAsTable(version.name)
+            written = Observation()
+            counted = batch.observe(written, F.count(F.lit(1)).alias("rows"))
+            counted.write.mode("append").saveAsTable(version.name)
+            expected += written.get["rows"]
+        if not spark.catalog.tableExists(version.name):
+            raise ValueError(f"no batches for {table}")
+        require_row_count(spark, version.name, expected)
+        if key:
+            require_key(spark.table(version.name), *key)
+            versions.declare_key(spark, version.name, key)
+        versions.publish(spark, version, table)
+    return expected
 
 
 def publish_by_day(
@@ -140,9 +130,9 @@ def refresh_days(
             days.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(day_column)
-            .parquet(_location(spark, table))
+            .parquet(versions.location(spark, table))
         )
-    spark.catalog.recoverPartitions(table)
+    spark.catalog.recoverPartitions(versions.stored(spark, table))
     spark.catalog.refreshTable(table)
     return spark.table(table)
 

@@ -188,6 +188,7 @@ def test_row_count_mismatch(spark):
     assert require_row_count(spark, "three", 3) == 3
     with pytest.raises(RowCountMismatch):
         require_row_count(spark, "three", 4)
+    spark.catalog.dropTempView("three")
 
 
 def test_bases_and_ranges(spark):

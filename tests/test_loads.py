@@ -19,7 +19,7 @@ from cabrank.session import (
     split_bytes,
     workspace,
 )
-from cabrank.sinks import jdbc, lake, layout, ordinal, tables
+from cabrank.sinks import jdbc, lake, layout, ordinal, tables, versions
 from cabrank.sources import csv, months
 from cabrank.sources.tables import external_table, read_lake, scan_table
 from cabrank.specs import REGISTRY, DatasetSpec
@@ -286,7 +286,8 @@ def test_a_failed_publish_leaves_the_old_table(spark):
         assert ids(spark.table(name)) == [1]
         assert ids(on_day(spark.table(name), "t", dt.date(2021, 1, 1))) == [1]
     database = name.partition(".")[0]
-    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["t"]
+    assert len(versions.versions(spark, name)) == 1
 
 
 def test_refresh_replaces_only_its_days(spark):
