@@ -593,3 +593,31 @@ def test_splits_and_partitions_grow_with_the_input():
     assert split_bytes(1024**4) == 128 * 1024**2
     assert shuffle_partitions(100 * 1024**4) == 200_000
     assert 500 * 1024**2 < split_bytes(100 * 1024**4) < 600 * 1024**2
+
+
+def test_folders_above_an_external_table_are_no_partitions(spark, tmp_path):
+    location = f"{tmp_path}/run=9/day=3/data"
+    df = spark.createDataFrame([(1, 9, "x"), (2, 8, "y")], "id int, run int, key string")
+    df.write.partitionBy("key").parquet(location)
+    found = external_table(spark, f"{fresh_database(spark)}.t", location)
+    assert sorted(map(tuple, found.collect())) == [(1, 9, "x"), (2, 8, "y")]
+    assert ids(found.where("run = 8")) == [2] and ids(found.where("key = 'x'")) == [1]
+    # A single file below such a folder.
+    plain = f"{tmp_path}/run=9/plain"
+    df.drop("key").coalesce(1).write.parquet(plain)
+    file = next(pathlib.Path(plain).glob("*.parquet"))
+    for place in (plain, f"{plain}/", str(file)):
+        assert ids(external_table(spark, f"{fresh_database(spark)}.t", place)) == [1, 2]
+
+
+def test_conflicts_are_narrowed_down_to_their_folders(spark, tmp_path):
+    root = f"{tmp_path}/lake"
+    for n in range(9):
+        kind = "string" if n in (2, 7) else "double"
+        spark.range(n, n + 1).selectExpr("id", f"cast(id as {kind}) fee", f"{n} as c{n % 2}").write.parquet(f"{root}/month={n}")
+    database = fresh_database(spark)
+    found = external_table(spark, f"{database}.t", root, drop=["FEE"])
+    assert set(found.columns) == {"id", "c0", "c1", "month"} and found.columns[-1] == "month"
+    assert ids(found) == list(range(9)) and ids(found.where("month = 7")) == [7]
+    with pytest.raises(ValueError, match="column fee"):
+        external_table(spark, f"{database}.t", root)
