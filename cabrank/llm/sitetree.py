@@ -29,7 +29,7 @@ but the added ones pass through.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,11 +158,19 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", hints: bool
     )
     rows = written(parsed(narrow, hints=hints), "parsed")
     noise = importance(style_tree(rows)).where(F.col("peak") < threshold).select("site", "id")
-    asked = rows.select("row", "site", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["path"])))).alias("id"))
+    branches_of = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["path"])))
+    asked = rows.select("row", "site", F.explode(branches_of).alias("id"))
     hits = asked.join(noise, ["site", "id"]).groupBy("row").agg(F.collect_set("id").alias("noise"))
+    # Pages that have no branch to ask about stay out of the join, and of its shuffle.
+    sure = F.forall("blocks", lambda b: F.size(b["path"]) == 0)
     kept = F.when(F.col("noise").isNull(), F.col("blocks")).otherwise(
         F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.col("noise")))
     )
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    out = rows.join(hits, "row", "left").select(*plain, text.alias("text"))
-    return put(out.toDF(*names, "text"), text=F.col("text"), n_chars=F.char_length("text").cast("long"))
+
+    def text(blocks: Column) -> Column:
+        return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n").alias("text")
+
+    whole = rows.where(sure).select(*plain, text(F.col("blocks")))
+    pruned = rows.where(~sure).join(hits, "row", "left").select(*plain, text(kept))
+    out = whole.union(pruned).toDF(*names, "text")
+    return put(out, text=F.col("text"), n_chars=F.char_length("text").cast("long"))
