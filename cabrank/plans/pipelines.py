@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -20,7 +20,7 @@ from cabrank.sinks.ordinal import load_csv_with_index
 from cabrank.quality import require_row_count
 from cabrank.sinks.tables import load_table, publish_by_day, refresh_days, replace_dimension
 from cabrank.sources.csv import header_schema, read_csv_typed
-from cabrank.sources.months import MONTH_COLUMN, month_range, read_months
+from cabrank.sources.months import MONTH_COLUMN, month_range, scan_months
 from cabrank.sources.tables import external_table
 from cabrank.specs import REGISTRY, ZONES, DatasetSpec
 
@@ -61,15 +61,31 @@ def backfill(
 ) -> str:
     """Load the monthly CSV files of a range into ``<lake>/<dataset>/month=…``; returns the path.
 
-    The whole range is one job. It replaces the months in the range and leaves all others alone,
-    so any range can be run again. The months that come through the write are observed: one whose
-    file has become empty writes no partition and has its old one emptied.
+    Every month of the range is loaded, whatever has been before; ``ledger.catch_up`` loads only
+    what is new or changed.
+    """
+    return land_months(spark, spec, root, lake, month_range(first, last), schema)
+
+
+def land_months(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    root: str,
+    lake: str,
+    months: Sequence[str],
+    schema: T.StructType | None = None,
+) -> str:
+    """Load the files of some ``yyyy-MM`` months into the lake; returns the dataset's path there.
+
+    All of them are one job. It replaces these months and leaves all others alone, so any can be
+    run again. The months that come through the write are observed: one whose file has become
+    empty writes no partition and has its old one emptied.
     """
     target = f"{lake.rstrip('/')}/{spec.name}"
-    months = month_range(first, last)
-    trips = read_months(spark, spec, root, first, last, schema)
+    first = int(months[0][:4]) * 12 + int(months[0][5:])
+    trips = scan_months(spark, spec, root, months, schema)
     seen = Observation()
-    position = month_number(MONTH_COLUMN) - F.lit(first.year * 12 + first.month)
+    position = month_number(MONTH_COLUMN) - F.lit(first)
     written = F.bitmap_construct_agg(position).alias("months")
     with many_directories(spark):
         (
@@ -81,9 +97,10 @@ def backfill(
             .parquet(target)
         )
     bitmap = int.from_bytes(seen.get["months"], "little")
-    for month in (m for i, m in enumerate(months) if not bitmap >> i & 1):
-        empty = trips.drop(MONTH_COLUMN).limit(0)
-        empty.write.mode("overwrite").parquet(f"{target}/{MONTH_COLUMN}={month}")
+    for month in months:
+        if not bitmap >> int(month[:4]) * 12 + int(month[5:]) - first & 1:
+            empty = trips.drop(MONTH_COLUMN).limit(0)
+            empty.write.mode("overwrite").parquet(f"{target}/{MONTH_COLUMN}={month}")
     return target
 
 

@@ -7,7 +7,10 @@ from pyspark.sql import types as T
 
 from cabrank.sinks.layout import by_group, many_directories
 from cabrank.sources.csv import DIALECT
-from cabrank.sources.months import MONTH_COLUMN, month_of_file
+from cabrank.sources.months import MONTH_COLUMN, month_of_file, month_of_path
+
+# What the file source tells about files; the content is never asked for.
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def land_new_files(
@@ -20,17 +23,19 @@ def land_new_files(
 ) -> str:
     """Land the months of the CSV files that arrived since the last run, then stop.
 
-    ``checkpoint`` records which files are done. A batch tells which months have new files; these
+    ``checkpoint`` records which files are done. The stream is one of file names, so new files are
+    opened only once, to be landed. A batch tells which months have new files; these
     are read whole from the source and replace ``target/month=…``, by the write that the backfill
     uses. So a run that dies and is resumed, a month whose files come in several batches, and a
     backfill of the same folder all leave each row once.
     """
     options = {**DIALECT, "enforceSchema": False}
     arrived = (
-        spark.readStream.schema(schema)
-        .options(**options, maxFilesPerTrigger=files_per_batch)
-        .csv(source)
-        .select(month_of_file().alias(MONTH_COLUMN))
+        spark.readStream.format("binaryFile")
+        .schema(FILES)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(source)
+        .select(month_of_path("path").alias(MONTH_COLUMN))
     )
 
     def land(batch: DataFrame, _: int) -> None:

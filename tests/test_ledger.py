@@ -1,0 +1,173 @@
+"""Month loads with a ledger, and loads that set bad rows aside."""
+
+import datetime as dt
+import os
+import pathlib
+
+import pytest
+from pyspark.sql import types as T
+
+from cabrank.plans import ledger, pipelines
+from cabrank.session import fresh_database
+from cabrank.sinks import quarantine, tables, versions
+from test_loads import SCHEMA, SPEC, ids, month_file, put
+
+SPAN = (dt.date(2021, 1, 1), dt.date(2021, 3, 31))
+
+
+@pytest.fixture
+def months(tmp_path):
+    root = tmp_path / "csv"
+    for month, values in (("2021-01", (1, 2)), ("2021-02", (3,)), ("2021-03", (4, 5))):
+        month_file(root, month, *values)
+    return str(root), str(tmp_path / "lake")
+
+
+def landed(spark, lake):
+    return ids(spark.read.parquet(f"{lake}/cab"))
+
+
+def test_a_second_run_opens_no_source_file(spark, months, monkeypatch):
+    root, lake = months
+    assert ledger.catch_up(spark, SPEC, root, lake, *SPAN) == ["2021-01", "2021-02", "2021-03"]
+    assert landed(spark, lake) == [1, 2, 3, 4, 5]
+
+    def opened(*args, **kwargs):
+        raise AssertionError("a source was read")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipelines, "scan_months", opened)
+        # Files of the same length and time that no longer parse: none of them is looked into.
+        for month in ("2021-01", "2021-02", "2021-03"):
+            path = pathlib.Path(f"{root}/cab_tripdata_{month}.csv")
+            times = os.stat(path)
+            path.write_bytes(b"?" * times.st_size)
+            os.utime(path, ns=(times.st_atime_ns, times.st_mtime_ns))
+        assert ledger.catch_up(spark, SPEC, root, lake, *SPAN) == []
+    loads = ledger.read_ledger(spark, SPEC, lake).collect()
+    assert {(r["month"], r["files"], r["rows"]) for r in loads} == {("2021-01", 1, 2), ("2021-02", 1, 1), ("2021-03", 1, 2)}
+    assert len({r["run"] for r in loads}) == 1 and all(r["length"] > 0 for r in loads)
+
+
+def test_a_changed_or_new_file_loads_its_month_only(spark, months):
+    root, lake = months
+    first_two = (SPAN[0], dt.date(2021, 2, 28))
+    assert ledger.catch_up(spark, SPEC, root, lake, *first_two) == ["2021-01", "2021-02"]
+    assert ledger.catch_up(spark, SPEC, root, lake, *SPAN) == ["2021-03"]
+    month_file(root, "2021-02", 30, 31)
+    assert ledger.catch_up(spark, SPEC, root, lake, *SPAN) == ["2021-02"]
+    assert landed(spark, lake) == [1, 2, 4, 5, 30, 31]
+    # Same length, another time.
+    path = f"{root}/cab_tripdata_2021-01.csv"
+    os.utime(path, (1, 1))
+    assert ledger.catch_up(spark, SPEC, root, lake, *SPAN) == ["2021-01"]
+    # A month whose file has become empty.
+    month_file(root, "2021-03")
+    assert ledger.catch_up(spark, SPEC, root, lake, *SPAN) == ["2021-03"]
+    assert landed(spark, lake) == [1, 2, 30, 31]
+    last = {r["month"]: r["rows"] for r in ledger.last_loads(ledger.read_ledger(spark, SPEC, lake)).collect()}
+    assert last == {"2021-01": 2, "2021-02": 2, "2021-03": 0}
+    assert ledger.read_ledger(spark, SPEC, lake).count() == 6
+
+
+def test_a_run_that_dies_before_its_entries_loads_again(spark, months, monkeypatch):
+    root, lake = months
+    with monkeypatch.context() as patch:
+        def die(*args):
+            raise KeyboardInterrupt
+
+        patch.setattr(ledger, "ledger_path", lambda lake, spec: die() if os.path.exists(f"{lake}/cab") else f"{lake}/_ledger/cab")
+        with pytest.raises(KeyboardInterrupt):
+            ledger.catch_up(spark, SPEC, root, lake, *SPAN)
+    assert landed(spark, lake) == [1, 2, 3, 4, 5]
+    assert len(ledger.catch_up(spark, SPEC, root, lake, *SPAN)) == 3
+    assert landed(spark, lake) == [1, 2, 3, 4, 5]
+
+
+def test_a_month_without_a_file_fails_before_anything_is_loaded(spark, months):
+    root, lake = months
+    with pytest.raises(FileNotFoundError, match="2021-04"):
+        ledger.catch_up(spark, SPEC, root, lake, SPAN[0], dt.date(2021, 4, 1))
+    assert not os.path.exists(f"{lake}/cab")
+
+
+def test_the_ledger_is_no_part_of_the_lake_tables(spark, months):
+    root, lake = months
+    ledger.catch_up(spark, SPEC, root, lake, *SPAN)
+    sources = pipelines.lake_sources(spark, lake, fresh_database(spark), {"cab": SPEC})
+    assert ids(sources["cab"]) == [1, 2, 3, 4, 5]
+
+
+# Bad rows
+
+
+LINES = [
+    "1,2021-01-01 00:00:01,1.5",
+    "2,yesterday,1.5",
+    "3,2021-01-01 00:00:03,1.5,extra",
+    '4,2021-01-01 00:00:04,"2,5"',
+    "5,2021-01-01",
+    "6,2021-01-01T00:00:06,",
+    ",,",
+    '"x ""y""",2021-01-01,3',
+    "9,2021-01-01 00:00:09.25,9e1",
+]
+
+
+def test_bad_rows_go_aside_with_file_and_reason(spark, tmp_path):
+    one = put(tmp_path / "one.csv", "id,pickup,fare", *LINES)
+    two = put(tmp_path / "two.csv", "id,pickup,fare", "10,2021-01-01,1", "11,2021-13-01,1")
+    name = f"{fresh_database(spark)}.trips"
+    assert quarantine.load_checked(spark, [one, two], name, SCHEMA, most_rejected=10) == (5, 6)
+    good = {(r["id"], r["fare"]) for r in spark.table(name).collect()}
+    assert good == {(1, 1.5), (6, None), (None, None), (9, 90.0), (10, 1.0)}
+    assert spark.table(name).schema == SCHEMA
+    bad = {(os.path.basename(r["_file"]), r["_record"], r["_reason"]) for r in spark.table(f"{name}_rejected").collect()}
+    assert bad == {
+        ("one.csv", LINES[1], "pickup: yesterday"),
+        ("one.csv", LINES[2], "number of values"),
+        ("one.csv", LINES[3], "fare: 2,5"),
+        ("one.csv", LINES[4], "number of values"),
+        ("one.csv", LINES[7], 'id: x "y"'),
+        ("two.csv", "11,2021-13-01,1", "pickup: 2021-13-01"),
+    }
+
+
+def test_too_many_bad_rows_leave_both_tables(spark, tmp_path):
+    name = f"{fresh_database(spark)}.trips"
+    fine = put(tmp_path / "fine.csv", "id,pickup,fare", LINES[0], LINES[1])
+    assert quarantine.load_checked(spark, fine, name, SCHEMA, most_rejected=1) == (1, 1)
+    worse = put(tmp_path / "worse.csv", "id,pickup,fare", *LINES)
+    with pytest.raises(quarantine.TooManyRejected, match="5 of 9 rows"):
+        quarantine.load_checked(spark, worse, name, SCHEMA, most_rejected=4)
+    assert ids(spark.table(name)) == [1] and spark.table(f"{name}_rejected").count() == 1
+    assert len(versions.versions(spark, name)) == 1
+    with pytest.raises(quarantine.TooManyRejected):
+        quarantine.load_checked(spark, fine, name, SCHEMA)
+
+
+def test_sources_all_good_all_bad_and_empty(spark, tmp_path):
+    name = f"{fresh_database(spark)}.trips"
+    for lines, counts in (([LINES[0]], (1, 0)), ([LINES[1]], (0, 1)), ([], (0, 0))):
+        path = put(tmp_path / f"{len(lines)}{counts[0]}.csv", "id,pickup,fare", *lines)
+        assert quarantine.load_checked(spark, path, name, SCHEMA, most_rejected=5) == counts
+        assert (spark.table(name).count(), spark.table(f"{name}_rejected").count()) == counts
+        assert tables.append_table(spark.createDataFrame([(7, None, 1.0)], SCHEMA), name).count() == counts[0] + 1
+
+
+def test_another_header_still_fails(spark, tmp_path):
+    path = put(tmp_path / "t.csv", "id,fare,pickup", "1,2.0,2021-01-01")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        quarantine.load_checked(spark, path, f"{fresh_database(spark)}.trips", SCHEMA, most_rejected=9)
+
+
+def test_good_rows_equal_those_of_the_plain_read(spark, tmp_path):
+    kinds = T.StructType([T.StructField(f"c{i}", t) for i, t in enumerate([T.IntegerType(), T.BooleanType(), T.DateType(), T.DecimalType(9, 2), T.StringType()])])
+    lines = ["1,true,2021-01-01,1.25,a", "-2,FALSE,2020-02-29,-3,\"b, c\"", ",,,,", "7,false,1999-12-31,0.5, d "]
+    path = put(tmp_path / "t.csv", "c0,c1,c2,c3,c4", *lines)
+    from cabrank.sources.csv import read_csv
+
+    name = f"{fresh_database(spark)}.t"
+    assert quarantine.load_checked(spark, path, name, kinds) == (4, 0)
+    plain = sorted(map(tuple, read_csv(spark, path, kinds).collect()), key=repr)
+    assert sorted(map(tuple, spark.table(name).collect()), key=repr) == plain
