@@ -12,6 +12,7 @@ from cabrank.quality import require_key, require_new_keys, require_row_count
 from cabrank.session import fresh_dir
 from cabrank.sinks import versions
 from cabrank.sinks.layout import by_group, by_range, many_directories
+from cabrank.sources.files import write_index
 
 
 def replace_table(df: DataFrame, table: str, *partition_by: str, key: Iterable[str] = ()) -> DataFrame:
@@ -149,10 +150,14 @@ def publish_clustered(
 
     For queries that filter by day and order by ``cluster_by``: the day prunes directories, the
     narrow column range of each file lets readers skip files and row groups. Clustering is by
-    range, so a value with a third of the rows spans several files, where a bucket would not.
+    range, so a value with a third of the rows spans several files, where a bucket would not. The
+    ranges of the files are indexed (``sources.files``), for scans that open only matching ones.
     """
     kept = with_day_column(df, event_time, day_column)
     spark = df.sparkSession
-    with many_directories(spark):
+    with many_directories(spark), versions.new_version(spark, table) as version:
         laid_out = by_range(kept, day_column, cluster_by, event_time, partitions=partitions)
-        return replace_table(laid_out, table, day_column)
+        rows = laid_out.write.option("path", version.path).partitionBy(day_column)
+        rows.saveAsTable(version.name)
+        write_index(spark, version.name, [cluster_by])
+        return versions.publish(spark, version, table)
