@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 
 from cabrank.functions import numeric, temporal
 from cabrank.operators import aggregates, filters, joins, projection, ranking
-from cabrank.plans import pipelines, trips
+from cabrank.plans import ledger, pipelines, trips
 from cabrank.plans.standin import UNKNOWN, table, trips_ev, zone_trips, zones
-from cabrank.quality import key_violations, loaded_counts, require_key
+from cabrank.quality import KeyViolation, key_violations, known_keys, loaded_counts, require_key
 from cabrank.session import fresh_database, fresh_dir
-from cabrank.sinks import lake, layout, ordinal, tables
-from cabrank.sources import csv, months
+from cabrank.sinks import lake, layout, ordinal, quarantine, tables
+from cabrank.sources import csv, files, months
 from cabrank.sources import tables as source_tables
 from cabrank.sources.tables import external_table, read_lake
 from cabrank.specs import REGISTRY, DatasetSpec
@@ -288,6 +288,82 @@ def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.by_range(wanted, "dispatching_base_num")
 
 
+@query
+def load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which some have no time and some no number: good and bad rows, by what is wrong."""
+    events = table(spark, sf_dir, "events")
+    texts = events.withColumns(
+        {
+            "ts": F.when(F.col("event_id") % 97 == 0, "yesterday").otherwise(
+                F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            ),
+            "value": F.when(F.col("event_id") % 89 == 0, "much").otherwise(F.col("value").cast("string")),
+        }
+    )
+    source = csv.write_csv(texts, f"{fresh_dir(spark, 'source')}/events.csv")
+    name = f"{fresh_database(spark)}.events"
+    quarantine.load_checked(spark, source, name, events.schema, most_rejected=events.count())
+    good = spark.table(name).select(F.lit("good").alias("verdict"), "event_id")
+    number = F.substring_index("_record", ",", 1).cast("bigint").alias("event_id")
+    bad = spark.table(f"{name}_rejected").select(F.col("_reason").alias("verdict"), number)
+    counted = good.union(bad).groupBy("verdict")
+    return counted.agg(F.count("*").alias("loaded"), F.sum("event_id").alias("ids"))
+
+
+@query
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier months, then all, then again after two months got another file each."""
+    root, schema, first, last = _monthly_csv(spark, sf_dir)
+    target, middle = fresh_dir(spark, "lake"), first + (last - first) // 2
+    for end in (middle, last, last):
+        ledger.catch_up(spark, ORDER_MONTHS, root, target, first, end, schema)
+    for month in ("1996-02", "2000-11"):
+        path = f"{root}/{ORDER_MONTHS.file_name(month)}"
+        again = csv.read_csv(spark, path, schema)
+        again.coalesce(1).write.options(header=True, timestampNTZFormat=temporal.TIME_FORMAT).mode("append").csv(path)
+    ledger.catch_up(spark, ORDER_MONTHS, root, target, first, last, schema)
+    loads = ledger.read_ledger(spark, ORDER_MONTHS, target)
+    times = loads.groupBy("month").agg(F.count("*").alias("loads"))
+    landed = read_lake(spark, f"{target}/orders").groupBy("month").agg(F.count("*").alias("landed"))
+    return ledger.last_loads(loads).select("month", "rows").join(times, "month").join(landed, "month")
+
+
+@query
+def append_key_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a declared key; of a later batch the known ones, for which its append fails."""
+    name = f"{fresh_database(spark)}.orders"
+    early, late = _first_half(table(spark, sf_dir, "orders"), "o_orderdate", dt.date(1998, 1, 1))
+    tables.load_table(spark, [early], name, key=["o_orderkey"])
+    batch = late.union(early.where("o_orderkey % 7 = 0"))
+    known = fresh_dir(spark, "known")
+    known_keys(batch, spark.table(name), "o_orderkey").write.parquet(known)
+    try:
+        tables.append_table(batch, name)
+    except KeyViolation:
+        tables.append_table(late, name)
+    return read_lake(spark, known).join(spark.table(name), "o_orderkey")
+
+
+@query
+def clustered_base_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bases from the files that may have them."""
+    events = table(spark, sf_dir, "events")
+    name = f"{fresh_database(spark)}.fhv_clustered"
+    tables.publish_clustered(events, name, "ts", "event_type", "event_day")
+    return files.scan_indexed(spark, name, {"event_type": ["click", "error"]})
+
+
+@query
+def trips_for_bases_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the days of the question, from footers, and whether its columns are the smaller part."""
+    name = f"{fresh_database(spark)}.trips"
+    tables.publish_by_day(trips_ev(spark, sf_dir), name, "pickup_datetime")
+    days = F.col("pickup_date").between(F.lit(FIRST), F.lit(LAST))
+    asked = files.scan_bytes(spark, name, ["pickup_datetime", "dispatching_base_num"], days)
+    whole = files.scan_bytes(spark, name, spark.table(name).columns).select(F.col("bytes").alias("all_bytes"))
+    return asked.crossJoin(whole).select("rows", (F.col("bytes") < F.col("all_bytes")).alias("part"))
+
+
 # Projections
 
 

@@ -86,6 +86,30 @@ ORACLE: dict[str, str] = {
     "monthly_source_paths": """
         SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS trips FROM orders GROUP BY 1
     """,
+    # Loads that check, remember and prune
+    "load_quarantine": """
+        SELECT CASE WHEN event_id % 97 = 0 THEN 'ts: yesterday'
+                    WHEN event_id % 89 = 0 THEN 'value: much' ELSE 'good' END AS verdict,
+               count(*) AS loaded, CAST(sum(event_id) AS BIGINT) AS ids
+        FROM events GROUP BY 1
+    """,
+    "load_ledger": """
+        SELECT month, n AS rows, CASE WHEN twice THEN 2 ELSE 1 END::BIGINT AS loads, n AS landed FROM (
+            SELECT month, twice, CAST(count(*) * CASE WHEN twice THEN 2 ELSE 1 END AS BIGINT) AS n
+            FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, month IN ('1996-02', '2000-11') AS twice
+                  FROM orders)
+            GROUP BY month, twice)
+    """,
+    "append_key_guard": """
+        SELECT * FROM orders WHERE o_orderdate < DATE '1998-01-01' AND o_orderkey % 7 = 0
+    """,
+    "clustered_base_scan": """
+        SELECT *, CAST(ts AS DATE) AS event_day FROM events WHERE event_type IN ('click', 'error')
+    """,
+    "trips_for_bases_cost": """
+        SELECT count(*) AS rows, true AS part FROM events
+        WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-21'
+    """,
     # Sinks and publication
     "sink_table_replace": "SELECT * FROM supplier",
     "sink_create_empty": "SELECT * FROM orders WHERE false",
