@@ -13,6 +13,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ INDEX = "_index"
 MOST_FILES = 10_000
 
 # The file systems of pyarrow, by the schemes that Hadoop has for them.
-SCHEMES = {"s3a": "s3", "s3n": "s3"}
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs"}
 
 
 def _key(path: Column) -> Column:
@@ -125,13 +126,21 @@ def column_bytes(files: DataFrame, columns: Sequence[str] | None = None) -> Data
     return files.select("path").mapInArrow(run, "path string, rows long, bytes long")
 
 
-def _footer(path: str) -> pq.FileMetaData:
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
+def arrow_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system for a folder or file that Spark names, and its path there."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), uri
     if scheme == "file":
-        return pq.read_metadata("/" + rest.lstrip("/"))
-    system, inner = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+    except pa.ArrowInvalid as error:
+        raise ValueError(f"pyarrow has no file system for {scheme}: paths, such as {uri}") from error
+
+
+def _footer(path: str) -> pq.FileMetaData:
+    system, inner = arrow_store(path)
     with system.open_input_file(inner) as file:
         return pq.read_metadata(file)
 

@@ -105,3 +105,12 @@ def test_estimated_bytes_are_those_that_a_question_reads(spark, tmp_path):
     assert whole["bytes"] > 2 * estimate["bytes"] and whole["rows"] == 3_000_000
     none = files.scan_bytes(spark, name, ["noise"], F.col("pickup_date") == F.lit(dt.date(2000, 1, 1))).head()
     assert tuple(none) == (0, 0, 0)
+
+
+def test_stores_by_their_schemes():
+    assert files.arrow_store("file:///tmp/a b%20c")[1] == "/tmp/a b%20c"
+    assert files.arrow_store("/tmp/x=1:2/y")[1] == "/tmp/x=1:2/y"
+    system, path = files.arrow_store("s3a://bucket/key")
+    assert type(system).__name__ == "S3FileSystem" and path == "bucket/key"
+    with pytest.raises(ValueError, match="viewfs"):
+        files.arrow_store("viewfs://store/in")
