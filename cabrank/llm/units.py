@@ -38,7 +38,7 @@ class UnitTable:
             firsts.append(first)
             rests.append(rest)
             new.update(rest)
-        new.difference_update(known)
+        new = new.difference(known)  # goes through the new ones, not through the table
         odd = {unit for unit in new if not unit or unit[0].isspace()}
         known.update(dict.fromkeys(odd))
         fresh = list(new - odd)
