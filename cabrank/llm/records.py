@@ -24,6 +24,7 @@ an empty table has an empty index and no file.
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
 import re
@@ -43,6 +44,7 @@ from pyspark.sql import types as T
 from cabrank.llm.arrow import slices
 from cabrank.llm.bpe import byte_letters
 from cabrank.llm.units import UnitTable
+from cabrank.sources.files import arrow_store
 
 END_ID = 2
 MASK_DELTA = 0xA282EAD8
@@ -103,7 +105,7 @@ def parse(record: bytes) -> tuple[int | None, bytes]:
 
 
 class LibraryUnits:
-    """Ids of short texts by the tokenizers library.
+    """Ids of short texts by the tokenizers library, for a plain byte-level tokenizer.
 
     A blank and letters are one pre-token, so the library's BPE model can take them directly; a
     point or comma behind and a line break before the next word are others. Everything else goes
@@ -114,14 +116,11 @@ class LibraryUnits:
         self.tokenizer = tokenizer
         self.model = tokenizer.model
         self.letter = {byte: letter for letter, byte in byte_letters().items()}
-        pre = tokenizer.to_str()
-        self.direct = '"ByteLevel"' in pre and tokenizer.normalizer is None
         self.after = {"": b""} | {c: self.whole([c])[0] for c in ".,\n"}
         self.blank = self.letter[32]
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in done]
+        return whole_ids(self.tokenizer, texts)
 
     def word(self, word: str) -> bytes:
         if word.isascii():
@@ -134,9 +133,8 @@ class LibraryUnits:
     def __call__(self, texts: list[str]) -> list[bytes]:
         done: list[bytes | None] = []
         rest = []
-        match = _PLAIN_UNIT.fullmatch if self.direct else lambda _: None
         for text in texts:
-            plain = match(text)
+            plain = _PLAIN_UNIT.fullmatch(text)
             if plain is None:
                 rest.append(text)
                 done.append(None)
@@ -150,11 +148,48 @@ class LibraryUnits:
         return [next(others) if x is None else x for x in done]
 
 
-_TABLES: dict[str, UnitTable] = {}
+class WholeTexts:
+    """Ids of whole texts, for tokenizers of which it is not known where a text can be cut."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return whole_ids(self.tokenizer, texts)
+
+
+def whole_ids(tokenizer, texts: list[str]) -> list[bytes]:
+    done = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    return [np.array(x.ids, "<u4").tobytes() for x in done]
+
+
+def plain_byte_level(tokenizer) -> bool:
+    """Whether a tokenizer cuts texts by the byte-level pattern and does nothing else to them.
+
+    Only then a blank before a word starts a pre-token, and no token goes over it: no normaliser,
+    no blank put before the text, no other pattern, a plain BPE model, and no added token with a
+    blank in it or one that takes the blanks around it.
+    """
+    told = json.loads(tokenizer.to_str())
+    pre, model = told["pre_tokenizer"] or {}, told["model"]
+    return (
+        told["normalizer"] is None
+        and pre.get("type") == "ByteLevel"
+        and not pre.get("add_prefix_space")
+        and pre.get("use_regex", True)
+        and model["type"] == "BPE"
+        and not model.get("dropout")
+        and not model.get("continuing_subword_prefix")
+        and not model.get("end_of_word_suffix")
+        and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in told["added_tokens"])
+    )
+
+
+_TABLES: dict[str, UnitTable | WholeTexts] = {}
 
 
-def library_table(tokenizer_path: str) -> UnitTable:
-    """The unit table of this Python worker over the tokenizers library."""
+def library_table(tokenizer_path: str) -> UnitTable | WholeTexts:
+    """The encoder of this Python worker over the tokenizers library."""
     if tokenizer_path not in _TABLES:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -163,7 +198,8 @@ def library_table(tokenizer_path: str) -> UnitTable:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
-        _TABLES[tokenizer_path] = UnitTable(LibraryUnits(tokenizer))
+        plain = plain_byte_level(tokenizer)
+        _TABLES[tokenizer_path] = UnitTable(LibraryUnits(tokenizer)) if plain else WholeTexts(tokenizer)
     return _TABLES[tokenizer_path]
 
 
@@ -195,6 +231,7 @@ def write_records(
         yield from _write_file(rows, path, library_table(tokenizer_path), end)
 
     index = ordered.select("doc_id", "text").mapInArrow(write, INDEX)
+    arrow_store(path)  # a folder that tasks cannot write to fails here
     index.write.mode("overwrite").parquet(f"{path}/index")
     return read_index(spark, path)
 
@@ -204,7 +241,7 @@ def _write_file(
 ) -> Iterator[pa.RecordBatch]:
     """Write the rows of this task to one file; yields their index."""
     number = TaskContext.get().partitionId()
-    fs, root = pafs.FileSystem.from_uri(path)
+    fs, root = arrow_store(path)
     own = posixpath.join(root, f".{number}-{uuid.uuid4().hex}")
     out, offset, first = None, 0, 0
     for part in parts:
@@ -243,17 +280,21 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_files(index: DataFrame, path: str) -> DataFrame:
-    """Every record of the files, in file order; one task reads some files from start to end.
+    """Every record of the files, in file order; each file is read by a task of its own.
 
-    Only the list of files is taken from the index; lengths and ids come from the files.
+    Only the numbers of the files are taken from the index, as many as the writing stage had
+    tasks; lengths and ids come from the files.
     """
-    files = index.select("file").distinct()
-    files = files.repartition(max(1, files.count()), "file")  # a number given is not merged by AQE
+    spark = index.sparkSession
+    numbers = sorted(row["file"] for row in index.select("file").distinct().collect())
+    # A range has the partitions that it is given; a shuffle of the numbers could be merged.
+    files = spark.range(0, len(numbers), 1, max(1, len(numbers)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(path)
+        fs, root = arrow_store(path)
         for batch in batches:
-            for number in batch.column(0).to_pylist():
+            for at in batch.column(0).to_pylist():
+                number = numbers[at]
                 with fs.open_input_stream(_file(root, number), buffer_size=1 << 20) as stream:
                     yield from _batches(stream_records(stream, number))
 
@@ -265,7 +306,7 @@ def read_shuffled(index: DataFrame, path: str, seed: int) -> DataFrame:
     order = index.withColumn("at", F.rand(seed)).sort("at").select("file", "first", "offset", "length")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(path)
+        fs, root = arrow_store(path)
         for batch in batches:
             yield from _batches(fetch_records(fs, root, batch.to_pylist()))
 

@@ -1,3 +1,4 @@
+import json
 import struct
 import zlib
 
@@ -62,3 +63,53 @@ def test_damage_is_noticed():
         broken[at] ^= 4
         with pytest.raises((ValueError, struct.error)):
             records.parse(bytes(broken))
+
+
+@pytest.mark.parametrize("partitions", [8, 16])
+def test_each_file_is_read_by_a_task_of_its_own(spark, tmp_path, partitions):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        spark.conf.set(key, "false")  # files as many as partitions, although small
+        docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+        index = records.write_records(docs, f"{tmp_path}/r", PATH)
+    finally:
+        spark.conf.unset(key)
+    try:
+        tasks = records.read_files(index, f"{tmp_path}/r").selectExpr("file", "spark_partition_id() AS task").distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(tasks) == len({r["file"] for r in tasks}) == len({r["task"] for r in tasks}) == partitions
+
+
+def variant(tmp_path, name, change):
+    told = json.loads(open(PATH, encoding="utf-8").read())
+    change(told)
+    path = tmp_path / f"{name}.json"
+    path.write_text(json.dumps(told), encoding="utf-8")
+    return str(path)
+
+
+def test_other_tokenizers_take_whole_texts(spark, tmp_path):
+    def prefix(told):
+        told["pre_tokenizer"]["add_prefix_space"] = True
+
+    def lower(told):
+        told["normalizer"] = {"type": "Lowercase"}
+
+    def loose(told):
+        told["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+    assert records.plain_byte_level(Tokenizer.from_file(PATH))
+    texts = ["hello world", "Hello  World again and again.\nAnd", " x", "", "the the the"]
+    for name, change in (("prefix", prefix), ("lower", lower), ("loose", loose)):
+        path = variant(tmp_path, name, change)
+        own = Tokenizer.from_file(path)
+        assert not records.plain_byte_level(own)
+        got = records.library_table(path).ids(texts)
+        assert got == [struct.pack(f"<{len(i)}I", *i) for i in (own.encode(t, add_special_tokens=False).ids for t in texts)]
+
+
+def test_a_folder_that_tasks_cannot_write_to_fails_early(spark):
+    with pytest.raises(ValueError, match="unknown"):
+        records.write_records(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "unknown://store/r", PATH)
