@@ -1,16 +1,23 @@
 """LM scoring by context-tree weighting over bytes, beside an add-one word model.
 
-A byte is eight binary decisions, each with a context tree of its own over the preceding bytes
-(depths 0, 1 and 2). A node of a tree has a Krichevsky-Trofimov estimate from its counts of zeros
+A byte is eight binary decisions, each with a context tree of its own over the preceding bytes, of
+depths 0 to ``DEPTH``. A node of a tree has a Krichevsky-Trofimov estimate from its counts of zeros
 and ones in the training texts; what the node predicts is its own estimate mixed with what its
-child, one byte deeper, predicts, by the weight that the training texts gave either. Depth 2 makes
-the model a table of at most 256 ** 3 entries, whatever the data, so its counts and its final
-probabilities may be broadcast. Texts are lower-cased (A-Z) and end with byte 255, which no UTF-8
-has; two of it stand before a text as the first context. So probabilities of all texts sum to 1.
-
-The word model needs the training count of every word. Of these there is no bound, so only the
-``HEAVY_WORDS`` most frequent (of at most ``HEAVY_BYTES`` bytes) are broadcast; a document's other
-words are joined with the counts in a shuffle.
+child, one byte deeper, predicts, by the weight that the training texts gave either. Texts are
+lower-cased (A-Z) and end with byte 255, which no UTF-8 has; ``DEPTH`` of them stand before a text
+as its first context. So probabilities of all texts sum to 1.
+
+What is counted are grams: a byte with the ``DEPTH`` bytes before it. Grams that share the three
+bytes before the last are a subtree of contexts, and go to one task together: at most
+256 ** (DEPTH - 2) of them, however long the texts. Such a task goes from the deepest contexts up:
+counts by depth, estimates, and weighted probabilities. The sums of these by the contexts of two
+bytes (65,536 with 255 decisions each, at most) come to the driver, which finishes the upper
+levels; with them the tasks go down again, and give each gram the logarithm of its byte's mixed
+probability. The grams of texts that are held out take part with a count of 0.
+
+Neither the grams nor the words of a corpus have a bound. So only the ``HEAVY_GRAMS`` and
+``HEAVY_WORDS`` most frequent (words of at most ``HEAVY_BYTES`` bytes) are broadcast; what else a
+document has is joined with its probability or count in a shuffle.
 
 Defined cases: a null text is an empty one (its end is scored); a null doc_id counts as the empty
 id; rows are scored one by one, repeated ones alike; without training rows every count is 0.
@@ -24,7 +31,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +39,16 @@ from pyspark.sql import types as T
 from cabrank.llm.arrow import LOWER, append, as_bytes, col, put, slices, written
 from cabrank.llm.select import kth_largest
 
+DEPTH = 5
+HEAVY_GRAMS = 4_000_000
 HEAVY_WORDS = 300_000
 HEAVY_BYTES = 64
 FLUSH_WORDS = 500_000
+FLUSH_GRAMS = 3_000_000
 END = b""
 STOP = 255
-_GAP = bytes([STOP, STOP])
+# Contexts of so many bytes and less are finished on the driver.
+UPPER = 2
 
 
 def held_out(doc_id: Column) -> Column:
@@ -46,186 +56,295 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(text.cast("binary")) % 7 == 2
 
 
-def codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts with their two contexts, as context << 8 | byte, and where texts start.
+def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts with the ``depth`` bytes before them, as one number; where texts start.
 
-    Text i is from starts[i] to before its successor's start; its last code is its stop byte.
+    Text i is from starts[i] to before its successor's start; its last gram is that of its end.
     """
-    data = np.frombuffer(_GAP + _GAP.join(texts) + bytes([STOP]), np.uint8)
-    wide = data.astype(np.int32)
-    code = wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]
+    gap = bytes([STOP] * depth)
+    data = np.frombuffer(gap + gap.join(texts) + bytes([STOP]), np.uint8)
+    n = len(data) - depth
+    code = np.zeros(n, np.int64)
+    for i in range(depth + 1):
+        code <<= 8
+        code |= data[i : i + n]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    starts = np.concatenate([[0], np.cumsum(lengths + 2)[:-1]]).astype(np.int64)
-    # Between two texts stands a second stop byte that nothing predicts.
-    return np.delete(code, (starts[1:] - 1)), starts - np.arange(len(texts))
-
-
-def count_codes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes and their counts, by way of the few byte values that occur."""
-    present = np.flatnonzero(np.bincount(code & 255, minlength=256))
-    present = np.union1d(present, [STOP])
-    small = np.zeros(256, np.int64)
-    small[present] = np.arange(len(present))
-    k = len(present)
-    packed = (small[code >> 16] * k + small[code >> 8 & 255]) * k + small[code & 255]
-    counts = np.bincount(packed, minlength=k**3)
-    used = np.flatnonzero(counts)
-    full = present[used // (k * k)] << 16 | present[used // k % k] << 8 | present[used % k]
-    return full.astype(np.int64), counts[used]
-
-
-def _rows(words: Counter, code: dict[int, int]) -> pa.RecordBatch:
-    keys = [*words, *(c.to_bytes(3, "big") for c in code)]
-    kinds = [False] * len(words) + [True] * len(code)
+    starts = np.concatenate([[0], np.cumsum(lengths + depth)[:-1]]).astype(np.int64)
+    # Between two texts only the first stop byte is predicted: it is the end of the one before.
+    predicted = np.ones(n, bool)
+    for i in range(1, depth):
+        predicted[starts[1:] - i] = False
+    return code[predicted], starts - np.arange(len(texts)) * (depth - 1)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def _key_bytes(code: np.ndarray) -> pa.Array:
+    """Grams as eight bytes each."""
+    fixed = pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(8), len(code), [None, pa.py_buffer(np.ascontiguousarray(code.astype(">i8")))]
+    )
+    return fixed.cast(pa.binary())
+
+
+def _word_rows(words: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(kinds), pa.array(keys, pa.binary()), pa.array([*words.values(), *code.values()], pa.int64())],
-        names=["is_code", "key", "n"],
+        [pa.array([False] * len(words), pa.bool_()), pa.array(words, pa.binary()), pa.array(words.values(), pa.int64())],
+        names=["is_gram", "key", "n"],
     )
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gram_rows(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(code), 200_000):
+        part = code[at : at + 200_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ones(len(part), bool)), _key_bytes(part), pa.array(n[at : at + 200_000], pa.int64())],
+            names=["is_gram", "key", "n"],
+        )
+
+
+def _count(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     words: Counter[bytes] = Counter()
-    seen: Counter[int] = Counter()
+    known, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
         for part in slices(batch, 0):
             texts = [text.translate(LOWER) for text in as_bytes(part.column(0))]
-            for text in texts:
-                words.update(text.split())
-            words[END] += len(texts)
-            full, counts = count_codes(codes(texts)[0])
-            seen.update(dict(zip(full.tolist(), counts.tolist(), strict=True)))
+            for held in (False, True):
+                own = [t for t, h in zip(texts, part.column(1).to_pylist(), strict=True) if h == held]
+                if not own:
+                    continue
+                if not held:
+                    for text in own:
+                        words.update(text.split())
+                    words[END] += len(own)
+                code, n = np.unique(grams(own, depth)[0], return_counts=True)
+                n = n * (not held)
+                known, counts = _summed(np.concatenate([known, code]), np.concatenate([counts, n]))
             if len(words) > FLUSH_WORDS:
-                yield _rows(words, {})
+                yield _word_rows(words)
                 words = Counter()
-    yield _rows(words, seen)
+            if len(known) > FLUSH_GRAMS:
+                yield from _gram_rows(known, counts)
+                known, counts = known[:0], counts[:0]
+    yield _word_rows(words)
+    yield from _gram_rows(known, counts)
+
 
+def training_counts(docs: DataFrame, text: str = "text", depth: int = DEPTH) -> DataFrame:
+    """How often each word and gram stands in the rows that are not held out: (is_gram, key, n), written.
 
-def training_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """How often each word and each code stands in the training rows: (is_code, key, n), written."""
+    Grams of rows that are held out are there too, with a count of 0 where no other row has them.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _count(batches)
+        yield from _count(batches, depth)
+
+    rows = docs.select(col(text).alias("text"), F.col("held_out")).mapInArrow(
+        count, "is_gram boolean, key binary, n long"
+    )
+    return written(rows.groupBy("is_gram", "key").agg(F.sum("n").alias("n")), "counts")
+
 
-    rows = docs.select(col(text).alias("text")).mapInArrow(count, "is_code boolean, key binary, n long")
-    return written(rows.groupBy("is_code", "key").agg(F.sum("n").alias("n")), "counts")
+_SMALL = 4096
+_HALVES = np.array([math.lgamma(i + 0.5) for i in range(_SMALL)])
+_WHOLES = np.array([math.lgamma(i + 1) for i in range(_SMALL)])
 
 
-_LGAMMA = np.vectorize(math.lgamma, otypes=[float])
+def _stirling(x: np.ndarray) -> np.ndarray:
+    """lgamma of large numbers."""
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3)
 
 
-def bit_counts(by_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at each of the 255 decisions, from counts by byte (rows are contexts)."""
-    tree = np.zeros((len(by_byte), 512))
-    tree[:, 256:] = by_byte
-    for node in range(255, 0, -1):
-        tree[:, node] = tree[:, 2 * node] + tree[:, 2 * node + 1]
-    return tree[:, 2:512:2][:, :255], tree[:, 3:512:2][:, :255]
+def _log_gamma(n: np.ndarray, table: np.ndarray, shift: float) -> np.ndarray:
+    out = table[np.minimum(n, _SMALL - 1)]
+    large = n >= _SMALL
+    if large.any():
+        out[large] = _stirling(n[large] + shift)
+    return out
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Log of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    half = 2 * math.lgamma(0.5)
-    return _LGAMMA(zeros + 0.5) + _LGAMMA(ones + 0.5) - half - _LGAMMA(zeros + ones + 1)
-
-
-def _by_context(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The older context bytes that occur, and counts by byte for each."""
-    older, at = np.unique(rows["older"].to_numpy(), return_inverse=True)
-    counts = np.zeros((len(older), 256))
-    np.add.at(counts, (at, rows["byte"].to_numpy()), rows["n"].to_numpy())
-    return older, counts
-
-
-def _summary(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one nearer context byte: its counts by byte, and the log weighted probability."""
-    _, deep = _by_context(rows)
-    near = deep.sum(axis=0, keepdims=True)
-    children = log_kt(*bit_counts(deep)).sum(axis=0)
-    weighted = np.logaddexp(log_kt(*bit_counts(near))[0], children) - math.log(2)
-    return pd.DataFrame({"near": [rows["near"].iloc[0]], "counts": [near[0].tobytes()], "weighted": [weighted.tobytes()]})
-
-
-def _mix(own: np.ndarray, deeper: np.ndarray) -> np.ndarray:
-    """Share of a node's own estimate: own / (own + deeper), from logs."""
-    return 1 / (1 + np.exp(np.clip(deeper - own, -700, 700)))
-
-
-def _estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return (ones + 0.5) / (zeros + ones + 1)
-
-
-def _byte_logs(ones: np.ndarray) -> np.ndarray:
-    """log10 of each byte's probability, from the probability of a one at each decision."""
-    logs = np.zeros((len(ones), 512))
-    for node in range(1, 256):
-        p = ones[:, node - 1]
-        logs[:, 2 * node] = logs[:, node] + np.log10(1 - p)
-        logs[:, 2 * node + 1] = logs[:, node] + np.log10(p)
-    return logs[:, 256:].astype(np.float32)
-
-
-def _final(rows: pd.DataFrame, root_share: np.ndarray, root_one: np.ndarray) -> pd.DataFrame:
-    """For each context with one nearer byte, log10 of all bytes; older -1 stands for unseen ones."""
-    older, deep = _by_context(rows)
-    deep_bits = bit_counts(deep)
-    near_bits = bit_counts(deep.sum(axis=0, keepdims=True))
-    share = _mix(log_kt(*near_bits)[0], log_kt(*deep_bits).sum(axis=0))
-    unseen = np.full((1, 255), 0.5)
-    deepest = np.concatenate([unseen, _estimate(*deep_bits)])
-    one = share * _estimate(*near_bits) + (1 - share) * deepest
-    one = root_share * root_one + (1 - root_share) * one
-    logs = _byte_logs(one)
-    return pd.DataFrame(
-        {"older": [-1, *older], "near": int(rows["near"].iloc[0]), "logs": [row.tobytes() for row in logs]}
-    )
+    """Log of the Krichevsky-Trofimov probability of a sequence with these (whole) counts."""
+    halves = _log_gamma(zeros, _HALVES, 0.5) + _log_gamma(ones, _HALVES, 0.5)
+    return halves - 2 * _HALVES[0] - _log_gamma(zeros + ones, _WHOLES, 1.0)
 
 
-class ByteModel:
-    """log10 probabilities of a byte for each context: rows of 256, and the row of a context."""
-
-    def __init__(self, contexts: list[tuple[int, int, bytes]], default: np.ndarray):
-        self.table = np.concatenate([default[None, :]] + [np.frombuffer(c[2], np.float32)[None, :] for c in contexts])
-        self.row = np.zeros((256, 256), np.int32)
-        # Unseen contexts (older -1) first, then those that were seen.
-        order = sorted(range(len(contexts)), key=lambda i: contexts[i][0])
-        for i in order:
-            older, near, _ = contexts[i]
-            if older < 0:
-                self.row[:, near] = i + 1
-            else:
-                self.row[older, near] = i + 1
-        self.row = self.row.ravel()
-        self.table = self.table.ravel()
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each lower-cased text with its end."""
-        code, starts = codes(texts)
-        logs = self.table[(self.row[code >> 8].astype(np.int64) << 8) | (code & 255)]
-        return np.add.reduceat(logs.astype(np.float64), starts)
-
-
-def byte_model(counts: DataFrame) -> ByteModel:
-    """The weighted model of the code counts; contexts are worked on in one group per near byte."""
-    key = F.hex("key")
-    part = lambda i: F.conv(F.substring(key, i, 2), 16, 10).cast("int")
-    rows = counts.where("is_code").select(
-        part(1).alias("older"), part(3).alias("near"), part(5).alias("byte"), "n"
-    )
-    summaries = (
-        rows.groupBy("near").applyInPandas(_summary, "near int, counts binary, weighted binary").collect()
-    )
-    if not summaries:
-        return ByteModel([], np.full(256, 8 * math.log10(0.5), np.float32))
-    root_bits = bit_counts(np.sum([np.frombuffer(r["counts"]) for r in summaries], axis=0)[None, :])
-    weighted = np.sum([np.frombuffer(r["weighted"]) for r in summaries], axis=0)
-    share, one = _mix(log_kt(*root_bits)[0], weighted), _estimate(*root_bits)[0]
+class Level:
+    """The decisions of all contexts of one depth: ``keys`` are context << 8 | decision, ascending.
 
-    def final(group: pd.DataFrame) -> pd.DataFrame:
-        return _final(group, share, one)
+    ``own`` is the log of the estimates' probability of the training texts, ``below`` that of the
+    children's weighted ones, ``share`` the weight of the own estimate in predictions.
+    """
 
-    contexts = rows.groupBy("near").applyInPandas(final, "older int, near int, logs binary").collect()
-    default = _byte_logs((share * one + (1 - share) * 0.5)[None, :])[0]
-    return ByteModel([(r["older"], r["near"], bytes(r["logs"])) for r in contexts], default)
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None):
+        self.keys, self.zeros, self.ones = keys, zeros, ones
+        own = log_kt(zeros, ones)
+        if below is None:  # the deepest
+            self.weighted, self.share = own, np.ones(len(keys))
+        else:
+            self.weighted = np.logaddexp(own, below) - math.log(2)
+            self.share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
+        self.estimate = (ones + 0.5) / (zeros + ones + 1)
+
+    @classmethod
+    def of_grams(cls, code: np.ndarray, n: np.ndarray, deeper: Level | None) -> Level:
+        keys = np.concatenate([(code >> 8 << 8) | _decision(code, i) for i in range(8)])
+        ones = np.concatenate([np.where(_bit(code, i), n, 0) for i in range(8)])
+        zeros = np.tile(n, 8) - ones
+        keys, at = np.unique(keys, return_inverse=True)
+        total = [np.bincount(at, c, len(keys)).astype(np.int64) for c in (zeros, ones)]
+        return cls(keys, *total, None if deeper is None else deeper.of_parents(keys, deeper.weighted))
+
+    def of_parents(self, parents: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Sums over the children of each of the parents' keys, of a context one byte shorter."""
+        return np.bincount(np.searchsorted(parents, self.parent()), values, len(parents))
+
+    def parent(self) -> np.ndarray:
+        """The key of the parent: the context without its oldest byte."""
+        depth = self.depth
+        return ((self.keys >> 8) & ((1 << 8 * (depth - 1)) - 1)) << 8 | (self.keys & 255)
+
+    depth = 0
+
+    def at(self, depth: int) -> Level:
+        self.depth = depth
+        return self
+
+    def predict(self, above: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """keys, probability of a one mixed down to this depth, and the weight left for deeper ones."""
+        if above is None:
+            before, left = 0.0, 1.0
+        else:
+            at = np.searchsorted(above[0], self.parent())
+            before, left = above[1][at], above[2][at]
+        return self.keys, before + left * self.share * self.estimate, left * (1 - self.share)
+
+
+def _decision(code: np.ndarray, i: int) -> np.ndarray:
+    """The number of a byte's decision i, from 1: the bits before it behind a one."""
+    return 1 << i | (code & 255) >> 8 - i
+
+
+def _bit(code: np.ndarray, i: int) -> np.ndarray:
+    return code >> 7 - i & 1
+
+
+def _levels(code: np.ndarray, n: np.ndarray, depth: int) -> dict[int, Level]:
+    """All levels from ``depth`` up to the one below ``UPPER``."""
+    levels: dict[int, Level] = {}
+    for d in range(depth, UPPER, -1):
+        code, n = _summed(code & ((1 << 8 * (d + 1)) - 1), n)
+        levels[d] = Level.of_grams(code, n, levels.get(d + 1)).at(d)
+    return levels
+
+
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, counts) of whole subtrees, many at a time; batches are sorted by subtree."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]))
+        if sum(h.shape[1] for h in held) < FLUSH_GRAMS // 8:
+            continue
+        rows = np.concatenate(held, axis=1)
+        last = int(np.searchsorted(rows[0], rows[0, -1]))  # the last subtree may go on
+        if last:
+            yield rows[1, :last], rows[2, :last]
+        held = [rows[:, last:]]
+    if held and sum(h.shape[1] for h in held):
+        rows = np.concatenate(held, axis=1)
+        yield rows[1], rows[2]
+
+
+def _by_subtree(counts: DataFrame) -> DataFrame:
+    """(subtree, gram, n) of the grams, the subtrees whole in their partitions and in order."""
+    code = F.conv(F.hex("key"), 16, 10).cast("long")
+    rows = counts.where("is_gram").select(code.alias("gram"), "n")
+    tree = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * (UPPER + 1)) - 1))
+    return rows.select(tree.alias("subtree"), "gram", "n").repartition("subtree").sortWithinPartitions("subtree")
+
+
+def _upper(rows: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """keys, mixed probability and weight left of the contexts of ``UPPER`` bytes."""
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _subtrees(batches):
+            lowest = _levels(code, n, depth)[UPPER + 1]
+            keys, at = np.unique(lowest.parent(), return_inverse=True)
+            sums = [np.bincount(at, v, len(keys)) for v in (lowest.zeros, lowest.ones, lowest.weighted)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), *[pa.array(v.astype(np.int64)) for v in sums[:2]], pa.array(sums[2])],
+                names=["key", "zeros", "ones", "below"],
+            )
+
+    sent = rows.mapInArrow(up, "key long, zeros long, ones long, below double").groupBy("key")
+    summed = sent.agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toArrow().sort_by("key")
+    level = Level(*[summed[c].to_numpy() for c in ("key", "zeros", "ones", "below")]).at(UPPER)
+    chain = [level]
+    for d in range(UPPER - 1, -1, -1):
+        child = chain[-1]
+        keys, at = np.unique(child.parent(), return_inverse=True)
+        sums = [np.bincount(at, v, len(keys)) for v in (child.zeros, child.ones, child.weighted)]
+        chain.append(Level(keys, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2]).at(d))
+    mixed = None
+    for level in reversed(chain):
+        mixed = level.predict(mixed)
+    return mixed
+
+
+def gram_logs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, n, log): log10 of the mixed probability of each gram's byte after its context, written."""
+    if depth <= UPPER:
+        raise ValueError(f"the depth has to be at least {UPPER + 1}")
+    rows = _by_subtree(counts)
+    above = rows.sparkSession.sparkContext.broadcast(_upper(rows, depth))
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _subtrees(batches):
+            levels, mixed = _levels(code, n, depth), above.value
+            for d in range(UPPER + 1, depth + 1):
+                mixed = levels[d].predict(mixed)
+            logs = np.zeros(len(code))
+            for i in range(8):
+                one = mixed[1][np.searchsorted(mixed[0], (code >> 8 << 8) | _decision(code, i))]
+                logs += np.log10(np.where(_bit(code, i), one, 1 - one))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code), pa.array(n), pa.array(logs)], names=["gram", "n", "log"]
+            )
+
+    return written(rows.mapInArrow(down, "gram long, n long, log double"), "grams")
+
+
+class GramTable:
+    """The logs of the heavy grams at hand."""
+
+    def __init__(self, gram: np.ndarray, log: np.ndarray):
+        order = np.argsort(gram)
+        self.gram, self.log = gram[order], log[order].astype(np.float32)
+
+    def scores(self, texts: list[bytes], depth: int) -> tuple[np.ndarray, list[list[dict]]]:
+        """Sum of the logs of each lower-cased text's heavy grams, and its other grams, counted."""
+        code, starts = grams(texts, depth)
+        at = np.searchsorted(self.gram, code)
+        at[at == len(self.gram)] = 0
+        there = self.gram[at] == code if len(self.gram) else np.zeros(len(code), bool)
+        logs = np.where(there, self.log[at], 0).astype(np.float64) if len(self.gram) else np.zeros(len(code))
+        rest: list[list[dict]] = [[] for _ in texts]
+        missing = np.flatnonzero(~there)
+        if len(missing):
+            owner = np.searchsorted(starts, missing, "right") - 1
+            bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+            for i in np.unique(owner).tolist():
+                own, n = np.unique(code[missing[bounds[i] : bounds[i + 1]]], return_counts=True)
+                rest[i] = [{"gram": g, "n": c} for g, c in zip(own.tolist(), n.tolist())]
+        return np.add.reduceat(logs, starts), rest
 
 
 SCORED = T.StructType(
@@ -234,7 +353,11 @@ SCORED = T.StructType(
         T.StructField("n_bytes", T.LongType()),
         T.StructField("heavy_tokens", T.LongType()),
         T.StructField("heavy_logs", T.DoubleType()),
-        T.StructField("score", T.DoubleType()),
+        T.StructField("gram_logs", T.DoubleType()),
+        T.StructField(
+            "light_grams",
+            T.ArrayType(T.StructType([T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])),
+        ),
         T.StructField(
             "rest",
             T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.IntegerType())])),
@@ -254,7 +377,7 @@ def _heavy(key: str, shared) -> dict[bytes, float]:
     return _HEAVY[key]
 
 
-def _score(texts: list[bytes], heavy: dict[bytes, float], model: ByteModel) -> list[pa.Array]:
+def _score(texts: list[bytes], heavy: dict[bytes, float], table: GramTable, depth: int) -> list[pa.Array]:
     texts = [text.translate(LOWER) for text in texts]
     n_tokens, known, logs, rest = [], [], [], []
     for text in texts:
@@ -267,12 +390,15 @@ def _score(texts: list[bytes], heavy: dict[bytes, float], model: ByteModel) -> l
         logs.append(math.fsum(x for x in found if x is not None))
         rest.append([{"word": w, "n": n} for w, n in light.items()])
     word = pa.struct([("word", pa.binary()), ("n", pa.int32())])
+    gram = pa.struct([("gram", pa.int64()), ("n", pa.int64())])
+    sums, light_grams = table.scores(texts, depth)
     return [
         pa.array(n_tokens, pa.int64()),
         pa.array(map(len, texts), pa.int64()),
         pa.array(known, pa.int64()),
         pa.array(logs, pa.float64()),
-        pa.array(model.scores(texts)),
+        pa.array(sums),
+        pa.array(light_grams, pa.list_(gram)),
         pa.array(rest, pa.list_(word)),
     ]
 
@@ -282,12 +408,14 @@ def score(
     text: str = "text",
     keep: list[str] | None = None,
     heavy_words: int = HEAVY_WORDS,
+    heavy_grams: int = HEAVY_GRAMS,
+    depth: int = DEPTH,
 ) -> DataFrame:
     """``docs`` with held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = docs.sparkSession
     split = put(docs, held_out=held_out(F.col("doc_id")))
-    counts = training_counts(split.where("not held_out"), text)
-    words = counts.where("not is_code")
+    counts = training_counts(split, text, depth)
+    words = counts.where("not is_gram")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     short = words.where(F.octet_length("key") <= HEAVY_BYTES)
     # More frequent than the word at the bound: fewer words than the bound, each of bounded length.
@@ -295,11 +423,14 @@ def score(
     is_heavy = (F.octet_length("key") <= HEAVY_BYTES) & (F.col("n") > least)
     heavy = words.where(is_heavy).select("key", "n").toArrow()
     shared = spark.sparkContext.broadcast((heavy["key"].to_pylist(), heavy["n"].to_pylist()))
-    model = spark.sparkContext.broadcast(byte_model(counts))
+    logs = gram_logs(counts, depth)
+    common = kth_largest(logs, "n", heavy_grams) if logs.count() > heavy_grams else -1
+    taken = logs.where(F.col("n") > common).select("gram", "log").toArrow()
+    table = spark.sparkContext.broadcast(GramTable(taken["gram"].to_numpy(), taken["log"].to_numpy()))
     run = uuid.uuid4().hex
 
     def compute(texts: pa.Array) -> list[pa.Array]:
-        return _score(as_bytes(texts), _heavy(run, shared), model.value)
+        return _score(as_bytes(texts), _heavy(run, shared), table.value, depth)
 
     kept = None if keep is None else [*keep, "held_out"]
     scored = append(split, [text], compute, SCORED, kept)
@@ -309,8 +440,16 @@ def score(
     sums = known.groupBy("row").agg(
         F.sum("n").alias("light_tokens"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("light_logs")
     )
-    joined = scored.drop("rest").join(sums, "row", "left")
+    joined = scored.drop("rest", "light_grams").join(sums, "row", "left")
+    if common >= 0:
+        seen = scored.select("row", F.explode("light_grams").alias("r")).select("row", "r.gram", F.col("r.n").alias("times"))
+        rare = seen.join(logs.where(F.col("n") <= common).select("gram", "log"), "gram")
+        rare = rare.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("rare_logs"))
+        joined = joined.join(rare, "row", "left")
+    else:
+        joined = joined.withColumn("rare_logs", F.lit(0.0))
     none = F.lit(0)
+    whole = F.col("gram_logs") + F.coalesce("rare_logs", F.lit(0.0))
     out = put(
         joined,
         n_known=(F.col("heavy_tokens") + F.coalesce("light_tokens", none)).cast("long"),
@@ -318,6 +457,8 @@ def score(
         base_score=F.col("heavy_logs")
         + F.coalesce("light_logs", F.lit(0.0))
         - F.col("n_tokens") * F.lit(math.log10(total + distinct + 1)),
-        bits_per_byte=-F.col("score") / F.lit(math.log10(2)) / (F.col("n_bytes") + 1),
+        score=whole,
+        bits_per_byte=-whole / F.lit(math.log10(2)) / (F.col("n_bytes") + 1),
     )
-    return out.drop("row", "n_bytes", "heavy_tokens", "heavy_logs", "light_tokens", "light_logs")
+    inner = ["row", "n_bytes", "heavy_tokens", "heavy_logs", "light_tokens", "light_logs", "gram_logs", "rare_logs"]
+    return out.drop(*inner)

@@ -20,28 +20,29 @@ def is_held_out(doc_id):
 class Slow:
     """Context trees by definition: sequential estimates and recursion over child nodes."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, depth):
+        self.depth = depth
         self.seen = collections.defaultdict(lambda: [0, 0])
         self.log_kt = collections.defaultdict(float)
         self.children = collections.defaultdict(set)
         for text in texts:
-            data = b"\xff\xff" + text + b"\xff"
-            for i in range(2, len(data)):
+            data = b"\xff" * depth + text + b"\xff"
+            for i in range(depth, len(data)):
                 node = 1
                 for bit in map(int, f"{data[i]:08b}"):
-                    for depth in range(3):
-                        key = (data[i - depth : i], node)
+                    for d in range(depth + 1):
+                        key = (data[i - d : i], node)
                         counts = self.seen[key]
                         self.log_kt[key] += math.log((counts[bit] + 0.5) / (sum(counts) + 1))
                         counts[bit] += 1
-                        if depth:
-                            self.children[(data[i - depth + 1 : i], node)].add(key)
+                        if d:
+                            self.children[(data[i - d + 1 : i], node)].add(key)
                     node = 2 * node + bit
         self.memo = {}
 
     def weighted(self, key):
         if key not in self.memo:
-            if len(key[0]) == 2:
+            if len(key[0]) == self.depth:
                 self.memo[key] = self.log_kt[key]
             else:
                 below = sum(self.weighted(c) for c in self.children.get(key, ()))
@@ -50,11 +51,11 @@ class Slow:
 
     def one(self, context, node):
         p = 0.5
-        for depth in (2, 1, 0):
-            key = (context[2 - depth :], node)
+        for d in range(self.depth, -1, -1):
+            key = (context[self.depth - d :], node)
             counts = self.seen.get(key, [0, 0])
             own = (counts[1] + 0.5) / (sum(counts) + 1)
-            if depth == 2:
+            if d == self.depth:
                 p = own
                 continue
             below = sum(self.weighted(c) for c in self.children.get(key, ()))
@@ -62,32 +63,67 @@ class Slow:
             p = share * own + (1 - share) * p
         return p
 
+    def bytes_after(self, context):
+        """Probability of every byte."""
+        out = []
+        for byte in range(256):
+            p, node = 1.0, 1
+            for bit in map(int, f"{byte:08b}"):
+                one = self.one(context, node)
+                p *= one if bit else 1 - one
+                node = 2 * node + bit
+            out.append(p)
+        return out
+
     def score(self, text):
-        data = b"\xff\xff" + text + b"\xff"
+        data = b"\xff" * self.depth + text + b"\xff"
         total = 0.0
-        for i in range(2, len(data)):
+        for i in range(self.depth, len(data)):
             node = 1
             for bit in map(int, f"{data[i]:08b}"):
-                p = self.one(data[i - 2 : i], node)
+                p = self.one(data[i - self.depth : i], node)
                 total += math.log10(p if bit else 1 - p)
                 node = 2 * node + bit
         return total
 
 
-def test_model_equals_its_definition(spark):
-    texts = ["abracadabra", "abra cadabra été", "", "Zebra", "a"]
-    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts) if not is_held_out(i)]
-    slow = Slow([lower(r[1]) for r in rows])
-    model = ctw.byte_model(ctw.training_counts(spark.createDataFrame(rows, DOCS)))
-    probes = [lower(t) for t in [*texts, "unseen é\U0001f600", "xyzzy", "\x00"]]
-    assert model.scores(probes) == pytest.approx([slow.score(p) for p in probes], rel=1e-5)
+TEXTS = ["abracadabra", "abra cadabra été", "", "Zebra", "a", "abracadabra simsalabim", "\x00\x00", "cab", "unseen é\U0001f600", "xyzzy", "abracad"]
+
+
+@pytest.mark.parametrize("depth", [3, 4, 5])
+@pytest.mark.parametrize("flush", [ctw.FLUSH_GRAMS, 40])
+def test_scores_equal_their_definition(spark, monkeypatch, depth, flush):
+    monkeypatch.setattr(ctw, "FLUSH_GRAMS", flush)
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(TEXTS)]
+    slow = Slow([lower(t) for i, t in enumerate(TEXTS) if not is_held_out(i)], depth)
+    assert any(is_held_out(i) for i in range(len(TEXTS)))
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    for heavy in (ctw.HEAVY_GRAMS, 30):
+        got = {r["doc_id"]: r["score"] for r in ctw.score(df, depth=depth, heavy_grams=heavy).collect()}
+        assert [got[i] for i in range(len(TEXTS))] == pytest.approx([slow.score(lower(t)) for t in TEXTS], rel=1e-5)
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    slow = Slow([lower(t) for t in TEXTS], 4)
+    for context in (b"\xff\xff\xff\xff", b"abra", b"acad", b"zzzz"):
+        assert sum(slow.bytes_after(context)) == pytest.approx(1)
+
+
+def test_estimates_of_large_counts():
+    zeros, ones = np.array([0, 5, 4095, 4096, 10**9]), np.array([0, 9, 1, 70_000, 3])
+    want = [math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(z + o + 1) for z, o in zip(zeros.tolist(), ones.tolist())]
+    assert ctw.log_kt(zeros, ones) == pytest.approx(want, rel=1e-9, abs=1e-9)
 
 
-def test_probabilities_of_a_context_sum_to_one(spark):
-    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
-    model = ctw.byte_model(ctw.training_counts(docs))
-    table = model.table.reshape(-1, 256).astype(float)
-    assert np.abs((10**table).sum(axis=1) - 1).max() < 1e-4
+def test_deeper_contexts_code_shorter(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet").select("doc_id", "text")
+    bits = {}
+    for depth in (3, 5):
+        held = ctw.score(docs, depth=depth).where("held_out")
+        bits[depth] = held.selectExpr("sum(-score) / log10(2) / sum(octet_length(text) + 1)").head()[0]
+    assert bits[5] < bits[3] < 3
+    with pytest.raises(ValueError, match="depth"):
+        ctw.score(docs, depth=2)
 
 
 def base(rows):
