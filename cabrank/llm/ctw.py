@@ -31,6 +31,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ from cabrank.llm.arrow import LOWER, append, as_bytes, col, put, slices, written
 from cabrank.llm.select import kth_largest
 
 DEPTH = 5
-HEAVY_GRAMS = 4_000_000
+HEAVY_GRAMS = 3_000_000
 HEAVY_WORDS = 300_000
 HEAVY_BYTES = 64
 FLUSH_WORDS = 500_000
@@ -323,19 +324,21 @@ def gram_logs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 class GramTable:
-    """The logs of the heavy grams at hand."""
+    """The logs of the heavy grams at hand, by a hash table that a worker builds at first use."""
 
     def __init__(self, gram: np.ndarray, log: np.ndarray):
-        order = np.argsort(gram)
-        self.gram, self.log = gram[order], log[order].astype(np.float32)
+        self.gram, self.log = gram, log.astype(np.float32)
+        self.index: pd.Index | None = None
 
     def scores(self, texts: list[bytes], depth: int) -> tuple[np.ndarray, list[list[dict]]]:
         """Sum of the logs of each lower-cased text's heavy grams, and its other grams, counted."""
         code, starts = grams(texts, depth)
-        at = np.searchsorted(self.gram, code)
-        at[at == len(self.gram)] = 0
-        there = self.gram[at] == code if len(self.gram) else np.zeros(len(code), bool)
-        logs = np.where(there, self.log[at], 0).astype(np.float64) if len(self.gram) else np.zeros(len(code))
+        if self.index is None:
+            self.index = pd.Index(self.gram)
+        at = self.index.get_indexer(code)
+        there = at >= 0
+        logs = np.zeros(len(code))
+        logs[there] = self.log[at[there]]
         rest: list[list[dict]] = [[] for _ in texts]
         missing = np.flatnonzero(~there)
         if len(missing):
