@@ -199,31 +199,41 @@ def _matches(pattern: str, rank: int) -> str:
 
 _KINDS = ", ".join(f"({i}, '{kind}')" for i, kind in enumerate(secrets.KINDS))
 _ALLOWED = " OR ".join(f"regexp_matches(body, {_quoted(p)})" for p in secrets.ALLOWED)
-_CLASS = " ".join(
-    f"WHEN regexp_full_match(body, '{c.pattern}') THEN {{'rank': {3 + i}, 'bits': {c.bits}::DOUBLE}}"
-    for i, c in enumerate(secrets.CLASSES)
-)
 _W = secrets.WINDOW
 
+
+def _class_runs(i: int) -> str:
+    """Maximal runs of a class that are not wholly of a narrower one, and what they have to reach."""
+    c = secrets.CLASSES[i]
+    narrower = "|".join(n.pattern for n in secrets.CLASSES[:i])
+    other = f"AND NOT regexp_full_match(body, '{narrower}')" if narrower else ""
+    return f"""
+        SELECT d, rank, place, body, {c.bits}::DOUBLE AS least, {i + 1 < len(secrets.CLASSES)} AS whole
+        FROM ({_matches(secrets.run_of(c, _W), 3 + i)}) WHERE NOT ({_ALLOWED}) {other}
+    """
+
+
+_RUNS = " UNION ALL ".join(_class_runs(i) for i in range(len(secrets.CLASSES)))
+
 _OP2 = f"""
 WITH docs AS (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS t FROM documents),
 assign AS ({_matches(_ASSIGN, 0)}), access AS ({_matches(secrets.ACCESS, 1)}), hex AS ({_matches(secrets.HEX, 2)}),
-runs AS (
-    SELECT d, place, body, CASE {_CLASS} END AS class
-    FROM ({_matches(secrets.CANDIDATE, 3)}) WHERE NOT ({_ALLOWED})
-), letters AS (
-    SELECT d, place, class, i, unnest(string_split(substr(body, i, {_W}), '')) AS letter
+runs AS ({_RUNS}), letters AS (
+    SELECT d, rank, place, i, unnest(string_split(substr(body, i, {_W}), '')) AS letter
     FROM runs, unnest(range(1, length(body) - {_W} + 2)) AS u(i)
 ), rated AS (
-    SELECT d, place, class, i, -sum(n / {_W} * log2(n / {_W})) AS bits
-    FROM (SELECT d, place, class, i, letter, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL
+    SELECT d, rank, place, i, -sum(n / {_W} * log2(n / {_W})) AS bits
+    FROM (SELECT d, rank, place, i, letter, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL
+), found AS (
+    SELECT d, rank, place, any_value(whole) AS whole, any_value(length(body)) AS n, min(i) AS low, max(i) AS high
+    FROM rated JOIN runs USING (d, rank, place) WHERE bits >= least - 1e-9 GROUP BY d, rank, place
 ), spans AS (
     SELECT d, rank, place AS s, place + length(body) AS e FROM assign
     WHERE length(regexp_extract(body, {_quoted(_ASSIGN)}, 2)) >= {secrets.ASSIGN_LENGTH}
     UNION ALL SELECT d, rank, place, place + length(body) FROM access
     UNION ALL SELECT d, rank, place, place + length(body) FROM hex
-    UNION ALL SELECT d, class.rank, place + min(i) - 1, place + max(i) - 1 + {_W}
-    FROM rated WHERE bits >= class.bits - 1e-9 GROUP BY d, place, class
+    UNION ALL SELECT d, rank, CASE WHEN whole THEN place ELSE place + low - 1 END,
+        CASE WHEN whole THEN place + n ELSE place + high - 1 + {_W} END FROM found
 ), said AS (
     SELECT d, rank, s, concat_ws(':', kind, s, e) AS said
     FROM spans JOIN (VALUES {_KINDS}) AS k(rank, kind) USING (rank)
@@ -255,16 +265,16 @@ def _distance(own: str, ref: str) -> str:
     part = lambda x, y: f"CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({x} + {y})) ELSE 0 END"
     p, q = f"{own}[i]", f"{ref}[i]"
     total = f"list_sum(list_transform(range(1, len({own}) + 1), lambda i: {part(p, q)} + {part(q, p)}))"
-    return f"round(sqrt(greatest({total} / 2, 0)), 6)"
+    return f"CASE WHEN {ref} IS NOT NULL THEN round(sqrt(greatest({total} / 2, 0)), 6) END"
 
 
 _OP6 = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS r0,
         CASE WHEN lower(lang) IN {tuple(divergence.COMMON_WORDS)} THEN lower(lang) ELSE 'other' END AS lang,
-        regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
         list_filter(string_split(coalesce(text, ''), chr(10)),
-            lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+            lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ){_PEELED},
 windows AS (

@@ -1,20 +1,18 @@
 """Secret scans with DataFrame functions only: three base patterns and sliding-window entropy.
 
-A run of token characters of at least a window's length is a candidate. Its character class (hex,
-upper-case alphanumeric, or base64-like) sets the entropy that a window must reach. The window
+Each maximal run of one character class (hex, upper-case alphanumeric, base64-like) of at least a
+window's length is a candidate; the class sets the entropy that a window must reach. The narrower
+class is tried first, so a name, path or separator glued to a key does not hide it. The window
 slides one character at a time: each step takes one character out of the counts and one in, and
 corrects the sum of c * log2(c) by what these two counts contribute, so a step costs the same
-whatever the window. Candidates that the allow-list matches are left out. The span reported runs
-from the first window that reaches the entropy to the last.
-
-That is the rule that the SQL of op2 states. A name, path or separator glued to a key makes the run
-base64-like, whose entropy few hex keys reach, so redaction scans ``parted`` by default: each
-maximal run of one class is a candidate of its own, the narrower class first, and the allow-list is
-asked about it alone. A hex or upper-case run in which any window reaches the entropy is a secret
-as a whole, so no end of a key is left over.
+whatever the window. Candidates that the allow-list matches are left out. A hex or upper-case run in
+which any window reaches the entropy is reported as a whole, so no end of a key is left over; of a
+base64-like run the span is from the first window that reaches it to the last.
 
 Positions come from cutting the text at the matches: a match starts where the texts between and
-the matches before it end. They are code points, the end exclusive.
+the matches before it end. They are code points, the end exclusive. Running sums over the matches
+go in blocks of blocks, and redaction cuts its pieces from blocks of the text, so the time for a
+text with many secrets grows with its length.
 
 Defined cases: a null text is an empty one, without spans; equal spans of different kinds are all
 reported; redaction joins overlapping spans; a null text stays null in redaction.
@@ -23,6 +21,7 @@ reported; redaction joins overlapping spans; a null text stays null in redaction
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,8 +40,6 @@ ASSIGN_LENGTH = 8
 
 SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 WINDOW = 24
-CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW
-
 
 @dataclass(frozen=True)
 class CharacterClass:
@@ -61,41 +58,95 @@ CLASSES = (
 )
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 
-# What is no secret however it looks: words (also joined ones), runs of the alphabet, placeholders.
+# What is no secret however it looks: words (also joined ones) of at most 20 letters, and runs of
+# the alphabet and placeholders, unless enough for a key of its own stands beside them.
 ALLOWED = (
-    r"^(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/+=]+(?:[A-Z]?[a-z]+|[A-Z]+))*[-_/+=]*$",
-    r"(?i)abcdefghijkl|0123456789",
-    r"(?i)example|placeholder|changeme|your[-_]?(?:key|token|secret)",
+    r"^(?:[A-Z]?[a-z]{1,20}|[A-Z]{1,20})(?:[-_/+=]+(?:[A-Z]?[a-z]{1,20}|[A-Z]{1,20}))*[-_/+=]*$",
+    r"(?i)^.{0,23}(?:abcdefghijkl|0123456789).{0,23}$",
+    r"(?i)^.{0,23}(?:example|placeholder|changeme|your[-_]?(?:key|token|secret)).{0,23}$",
+    r"(?i)example(?:key)?$",
 )
 
+BLOCK = 64
+LEVELS = 3
+TEXT_BLOCK = 4096
+
+
+def run_of(kind: CharacterClass, window: int = WINDOW) -> str:
+    """The pattern of a class's runs that have room for a window."""
+    return f"{kind.pattern.removesuffix('+')}{{{window},}}"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(numbers: Column, join: Callable[[Column, Column], Column], levels: int = LEVELS) -> Column:
+    """Of each number, the sum (or maximum, by ``join``) of those before it, 0 for the first.
+
+    An array that grows by one at a time is copied each time; so it is only done for blocks of
+    ``BLOCK``, and for what the blocks come to in the same way.
+    """
+
+    def short(xs: Column) -> Column:
+        start = F.struct(
+            F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out")
+        )
+        return F.aggregate(
+            xs,
+            start,
+            lambda acc, x: F.struct(
+                join(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+            ),
+            lambda acc: acc["out"],
+        )
+
+    if not levels:
+        return short(numbers)
+
+    def long(xs: Column) -> Column:
+        n = F.ceil(F.size(xs) / F.lit(BLOCK)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.slice(xs, b * BLOCK + 1, BLOCK))
+
+        def joined(own: Column) -> Column:
+            zero = F.lit(0).cast("bigint")
+            whole = F.transform(own, lambda block: F.aggregate(block, zero, join))
+            spread = lambda block, more: F.transform(short(block), lambda v: join(v, more))
+            return F.flatten(F.zip_with(own, _before(whole, join, levels - 1), spread))
+
+        return _let(blocks, joined)
+
+    return _let(numbers, lambda xs: F.when(F.size(xs) <= BLOCK, short(xs)).otherwise(long(xs)))
+
 
 def _places(text: Column, pattern: str) -> Column:
     """Start and text of each match, as array<struct<start, body>>."""
     bodies = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    zero = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,body:string>>").alias("found")
-    )
-    step = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(bodies)),
-        bodies,
-        lambda gap, body: F.struct(F.length(gap).alias("gap"), body.alias("body")),
-    )
-    done = F.aggregate(
-        step,
-        zero,
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.length(s["body"])).alias("at"),
-            F.concat(
-                acc["found"],
-                F.array(
-                    F.struct((acc["at"] + s["gap"]).cast("int").alias("start"), s["body"].alias("body"))
-                ),
-            ).alias("found"),
-        ),
-    )
     none = F.array().cast("array<struct<start:int,body:string>>")
-    return F.when(text.rlike(pattern), done["found"]).otherwise(none)
+
+    def placed(cut: Column) -> Column:
+        lengths = F.transform(
+            cut["bodies"],
+            lambda body, i: (F.length(body) + F.length(F.element_at(cut["gaps"], i + 1))).cast("bigint"),
+        )
+
+        def started(before: Column) -> Column:
+            return F.transform(
+                cut["bodies"],
+                lambda body, i: F.struct(
+                    (F.element_at(before, i + 1) + F.length(F.element_at(cut["gaps"], i + 1)))
+                    .cast("int")
+                    .alias("start"),
+                    body.alias("body"),
+                ),
+            )
+
+        return _let(_before(lengths, lambda x, y: x + y), started)
+
+    cut = F.struct(bodies.alias("bodies"), gaps.alias("gaps"))
+    return F.when(text.rlike(pattern), _let(cut, placed)).otherwise(none)
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -177,7 +228,6 @@ def scan(
     allowed: tuple[str, ...] = ALLOWED,
     classes: tuple[CharacterClass, ...] = CLASSES,
     window: int = WINDOW,
-    parted: bool = False,
 ) -> DataFrame:
     """``df`` with ``secret_spans``: array<struct<start, rank, end, kind>>, sorted."""
     body = F.coalesce(col(text), F.lit(""))
@@ -201,46 +251,31 @@ def scan(
             clear = clear & ~place["body"].rlike(pattern)
         return clear
 
-    def entropic(places: Column, classed, whole: bool = False) -> Column:
+    def of_class(i: int) -> Column:
+        """Maximal runs of a class that are not wholly of a narrower one."""
+        own, whole = classes[i], i + 1 < len(classes)
+        places = F.filter(_places(body, run_of(own, window)), suspicious)
+        narrower = "|".join(c.pattern for c in classes[:i])
+        if narrower:
+            places = F.filter(places, lambda p: ~p["body"].rlike(f"^(?:{narrower})$"))
         rated = F.transform(
-            F.filter(places, suspicious),
+            places,
             lambda p: F.struct(
                 p["start"].alias("start"),
                 F.length(p["body"]).alias("n"),
-                classed(p, lambda c: F.lit(KINDS.index(c.kind))).alias("rank"),
-                classed(p, lambda c: F.lit(c.kind)).alias("kind"),
-                _windows(p["body"], classed(p, lambda c: F.lit(c.bits)), window).alias("w"),
+                _windows(p["body"], F.lit(own.bits), window).alias("w"),
             ),
         )
         return F.transform(
             F.filter(rated, lambda r: r["w"]["first"] > 0),
-            lambda r: F.struct(
-                (r["start"] + (F.lit(0) if whole else r["w"]["first"] - window)).cast("int").alias("start"),
-                r["rank"].alias("rank"),
-                (r["start"] + (r["n"] if whole else r["w"]["last"])).cast("int").alias("end"),
-                r["kind"].alias("kind"),
+            lambda r: _span(
+                own.kind,
+                r["start"] + (F.lit(0) if whole else r["w"]["first"] - window),
+                r["start"] + (r["n"] if whole else r["w"]["last"]),
             ),
         )
 
-    def classed(place: Column, give) -> Column:
-        chosen = F
-        for c in classes:
-            chosen = chosen.when(place["body"].rlike(f"^{c.pattern}$"), give(c))
-        return chosen
-
-    def of_class(i: int) -> Column:
-        """Maximal runs of a class that are not wholly of a narrower one."""
-        run = f"{classes[i].pattern.removesuffix('+')}{{{window},}}"
-        narrower = "|".join(c.pattern for c in classes[:i])
-        places = _places(body, run)
-        if narrower:
-            places = F.filter(places, lambda p: ~p["body"].rlike(f"^(?:{narrower})$"))
-        return entropic(places, lambda _, give: give(classes[i]), whole=i + 1 < len(classes))
-
-    if parted:
-        entropy = F.concat(*[of_class(i) for i in range(len(classes))])
-    else:
-        entropy = entropic(_places(body, CANDIDATE), classed)
+    entropy = F.concat(*[of_class(i) for i in range(len(classes))])
     spans = F.concat(
         _whole(assigned, "assign"), _whole(_places(body, ACCESS), "access"), _whole(_places(body, HEX), "hex"), entropy
     )
@@ -255,29 +290,41 @@ def listed(spans: Column) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
-    """``df`` with every secret span of the text replaced by ``mark``; columns stay as they are."""
-    options = {"parted": True} | options
+    """``df`` with every secret span of the text replaced by ``mark``; columns stay as they are.
+
+    Spans that overlap are one. What stands between them is cut from blocks of the text, as the
+    place of a code point in a text is found by counting from its start.
+    """
     names = df.columns
     plain = df.toDF(*[f"d{i}" for i in range(len(names))])
     body = f"d{names.index(text)}"
     found = scan(plain, body, **options)
     source = F.col(body)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate(
-        "secret_spans",
-        start,
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                s["end"].alias("at"),
+    blocks = F.regexp_extract_all(source, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+
+    def cut(blocks: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / TEXT_BLOCK).cast("int")
+        last = F.floor((end - 1) / TEXT_BLOCK).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+        return F.when(end > start, F.substring(near, start - first * TEXT_BLOCK + 1, end - start)).otherwise("")
+
+    def pieces(own: Column) -> Column:
+        spans, covered = F.col("secret_spans"), own["covered"]
+        kept = F.transform(
+            spans,
+            lambda s, i: F.when(
+                s["start"] >= F.element_at(covered, i + 1),
                 F.concat(
-                    acc["out"],
-                    F.substring(source, acc["at"] + 1, s["start"] - acc["at"]),
-                    F.lit(mark),
-                ).alias("out"),
-            ),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(source, acc["at"] + 1, F.length(source))),
-    )
-    clean = found.withColumn(body, F.when(F.size("secret_spans") > 0, cut).otherwise(source))
+                    cut(own["blocks"], F.element_at(covered, i + 1).cast("int"), s["start"]), F.lit(mark)
+                ),
+            ).otherwise(""),
+        )
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        rest = cut(own["blocks"], end, F.length(source))
+        return F.concat(F.array_join(kept, ""), rest)
+
+    ends = F.transform("secret_spans", lambda s: s["end"].cast("bigint"))
+    covered = _before(ends, lambda x, y: F.greatest(x, y))
+    clean = _let(F.struct(blocks.alias("blocks"), covered.alias("covered")), pieces)
+    clean = found.withColumn(body, F.when(F.size("secret_spans") > 0, clean).otherwise(source))
     return clean.select(*plain.columns).toDF(*names)

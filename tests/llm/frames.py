@@ -21,7 +21,7 @@ def prose(n: int, seed: int = 0) -> str:
 
 
 def awkward(spark, extra: tuple[str, ...] = ()):
-    """Nulls, empty, blank and very long texts, repeated rows, ids with ties, non-ASCII."""
+    """Nulls, empty, blank and very long texts, repeated rows, ids with ties, all kinds of blanks."""
     rows = [
         (1, prose(40, 1), "en", "a", 1),
         (2, None, None, None, None),
@@ -35,6 +35,7 @@ def awkward(spark, extra: tuple[str, ...] = ()):
         (None, prose(12, 4), "en", "a", 1),
         (None, None, None, None, None),
         (-3, "one", "de", "c", 3),
+        (9, "a\rb\vc d\fe\r\n\r\v\nf\x00g\n\v\r\n\r\v", "en", "c", 7),
     ]
     df = spark.createDataFrame(rows, DOCS)
     for i, name in enumerate(extra):

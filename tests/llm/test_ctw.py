@@ -170,7 +170,7 @@ def test_awkward_rows(spark, tmp_path):
     assert all(math.isfinite(g[6]) and g[6] < 0 for g in got)
     assert queries.op5_context_tree_weighting(spark, save(empty(spark), tmp_path)).count() == 0
     out = ctw.score(awkward(spark, ("SCORE", "row", "rest", "held_out")))
-    assert out.count() == 12 and [c.lower() for c in out.columns].count("score") == 1
+    assert out.count() == 13 and [c.lower() for c in out.columns].count("score") == 1
     only = spark.createDataFrame([(i, "a b", "en", "a", 0) for i in range(40) if is_held_out(i)], DOCS)
     folder = save(only, tmp_path)
     assert {g[3:6] for g in check(spark, folder)} == {(0, 0, 0.0)}

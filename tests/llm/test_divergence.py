@@ -2,8 +2,11 @@ import collections
 import math
 import re
 
+import duckdb
 import pytest
 from cabrank.llm import divergence, queries
+from cabrank.llm.oracle import ORACLE
+from compare import differences
 from conftest import TESTDATA
 from frames import awkward, empty, prose, save
 
@@ -91,7 +94,7 @@ def test_awkward_rows(spark, tmp_path):
     assert queries.op6_distribution_divergence(spark, save(empty(spark), tmp_path)).count() == 0
     df = awkward(spark, ("Kept", "_words", "ref_lang", "chars"))
     out = divergence.judge(df)
-    assert out.count() == 12 and [c.lower() for c in out.columns].count("kept") == 1
+    assert out.count() == 13 and [c.lower() for c in out.columns].count("kept") == 1
 
 
 def test_repeats(spark, tmp_path):
@@ -104,3 +107,12 @@ def test_repeats(spark, tmp_path):
 def test_no_python_runs(spark):
     df = queries.op6_distribution_divergence(spark, f"{TESTDATA}/sf0.001")
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_sql_equals_the_query_on_awkward_rows(spark, tmp_path):
+    folder = save(awkward(spark), tmp_path)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    got = queries.op6_distribution_divergence(spark, folder)
+    assert differences(got, connection, ORACLE["op6_distribution_divergence"]) is None
+    assert {r["n_words"] for r in got.where("doc_id = 9").collect()} == {6}

@@ -140,7 +140,7 @@ def test_awkward_rows(spark, tmp_path):
     df = awkward(spark, ("kept", "Signature", "component_id"))
     kept = hamming.deduplicated(df)
     assert kept.columns == df.columns
-    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [-3, 1, 2, 3, 4, 5, 6, 7]
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [-3, 1, 2, 3, 4, 5, 6, 7, 9]
 
 
 def test_components(spark):
@@ -153,3 +153,13 @@ def test_components(spark):
             if a is not None:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    text, other = prose(60, 70), prose(60, 71)
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, text), (None, other), (None, other), (7, "of its own"), (None, None), (None, ""), (4, " ")]
+    df = spark.createDataFrame([(i, t, "en", "a", n) for n, (i, t) in enumerate(rows)], DOCS).repartition(4)
+    kept = hamming.deduplicated(df)
+    assert kept.columns == df.columns
+    got = sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=repr)
+    assert got == sorted([(1, text), (None, other), (7, "of its own"), (None, None), (None, ""), (4, " ")], key=repr)
