@@ -391,9 +391,9 @@ def near_links(nodes: DataFrame, docs: DataFrame, text: str, width: int, percent
 def near_duplicates(
     docs: DataFrame,
     text: str = "text",
+    keep: list[str] | None = None,
     width: int = SHINGLE,
     percent: int = PERCENT,
-    keep: list[str] | None = None,
     bound: int = BROADCAST,
 ) -> DataFrame:
     """``docs`` with n_shingles, component_id and kept (doc_id is the smallest of its component)."""
@@ -420,10 +420,22 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group of near-duplicates, with its own columns."""
+    """One document of each group of near-duplicates, that of the smallest doc_id, with its columns.
+
+    Rows that share a doc_id, or have none, are documents of their own: the rows are numbered, and
+    one row of each group stays. A row without doc_id stays only where no other row of its group
+    has one. Rows without words are no duplicates of anything.
+    """
     names = docs.columns
     ids = names.index("doc_id")
     inner = ["doc_id" if i == ids else f"d{i}" for i in range(len(names))]
-    plain = docs.toDF(*inner)
-    out = near_duplicates(plain, f"d{names.index('text')}", **options)
-    return out.where("kept").select(*inner).toDF(*names)
+    plain, text = docs.toDF(*inner), f"d{names.index('text')}"
+    if plain.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return near_duplicates(plain, text, **options).where("kept").select(*inner).toDF(*names)
+    given = [c if c != "doc_id" else "given" for c in inner]
+    numbered = plain.toDF(*given).withColumn("doc_id", F.monotonically_increasing_id())
+    numbered = written(numbered, "numbered")
+    groups = near_duplicates(numbered.select("doc_id", "given", text), text, ["doc_id", "given"], **options)
+    order = F.struct(F.col("given").isNull(), "given", "doc_id")
+    kept = groups.groupBy("component_id").agg(F.min_by("doc_id", order).alias("doc_id"))
+    return numbered.join(kept, "doc_id", "left_semi").select(*given).toDF(*names)
