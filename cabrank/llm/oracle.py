@@ -91,9 +91,8 @@ FROM dealt
 """
 
 _TEMPLATES = ", ".join(
-    f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES)
+    f"({i}, '{label}', '" + text.replace("'", "''") + "')" for i, (label, text) in enumerate(licenses.TEMPLATES)
 )
-_STRIDE = max(len(licenses.words_of(text.encode())) for _, text in licenses.TEMPLATES)
 _PLACES = " UNION ALL ".join(
     f"""SELECT d, i AS place, '{label}' AS label FROM docs, unnest(range(len(w))) AS u(i)
         WHERE w[i + 1 : i + {len(phrase.split())}] = {phrase.split()}"""
@@ -105,15 +104,22 @@ WITH docs AS (
     SELECT row_number() OVER () AS d, doc_id, {_alnum_words("text")} AS w FROM documents
 ), places AS ({_PLACES}),
 templates AS (
-    SELECT t, label, list_distinct({_alnum_words("body")}) AS tokens
-    FROM (VALUES {_TEMPLATES}) AS v(t, label, body)
+    SELECT t, label, list_distinct(said) AS tokens, 2 * len(said) AS width,
+        greatest(1, ceil({licenses.THRESHOLD} * len(list_distinct(said)) - 1e-9)) AS need
+    FROM (SELECT t, label, {_alnum_words("body")} AS said FROM (VALUES {_TEMPLATES}) AS v(t, label, body))
+    WHERE len(said) > 0
+), near AS (
+    SELECT d, w, t FROM (SELECT *, list_distinct(w) AS own FROM docs), templates
+    WHERE len(list_intersect(tokens, own)) >= need
+), found AS (
+    SELECT d, t, i, w[i] AS word
+    FROM near JOIN templates USING (t), unnest(range(1, len(w) + 1)) AS u(i) WHERE list_contains(tokens, w[i])
 ), blocks AS (
-    SELECT d, start, list_distinct(w[start + 1 : start + {2 * _STRIDE}]) AS block
-    FROM docs, unnest(range(0, len(w), {_STRIDE})) AS u(start)
+    SELECT a.d, a.t, a.i, count(DISTINCT b.word) AS shared
+    FROM found a JOIN templates USING (t) JOIN found b ON b.d = a.d AND b.t = a.t AND b.i >= a.i AND b.i < a.i + width
+    GROUP BY a.d, a.t, a.i
 ), matches AS (
-    SELECT d, label, len(list_intersect(tokens, block)) / len(tokens) AS share
-    FROM blocks, templates
-    WHERE len(list_intersect(tokens, block)) >= ceil({licenses.THRESHOLD} * len(tokens) - 1e-9)
+    SELECT d, label, shared / len(tokens) AS share FROM blocks JOIN templates USING (t) WHERE shared >= need
 ), base AS (
     SELECT d, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
