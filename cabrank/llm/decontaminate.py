@@ -1,9 +1,11 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams against all token windows.
 
-The windows of the benchmark are hashed once in each worker. A slice of documents becomes one
-array of word hashes, whose window hashes are rolled up with a few vector operations and looked
-up in a bit table; what the table lets through is verified on the words themselves. So the scan
-is linear in the text and independent of the number of items.
+The windows of the benchmark become sorted arrays of hashes on the driver, once for a block of
+items: hash, place of the window's words in the block's text, and item. A slice of documents
+becomes one array of word hashes, whose window hashes are rolled up with a few vector operations
+and looked up in a bit table that has ``BITS`` bits a window, then in the sorted hashes; what is
+left is verified on the words themselves. So the scan is linear in the text and independent of the
+number of items, and a worker only loads arrays.
 
 The benchmark is broadcast in blocks of at most ``BLOCK_BYTES`` of text. A benchmark of more
 blocks takes one pass for each, and a pass carries on the spans found before.
@@ -17,7 +19,8 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from cabrank.llm.arrow import ALNUM_WORDS, append, as_bytes, put, written
 
 WINDOW = 10
 BLOCK_BYTES = 16 * 1024 * 1024
-TABLE_BITS = 22
+BITS = 16
 
 SPANS = T.ArrayType(
     T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -41,7 +44,8 @@ FOUND = T.StructType(
         T.StructField("hit_items", T.ArrayType(T.StringType())),
     ]
 )
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_HALF, _BYTE, _LOW = np.uint64(32), np.uint64(3), np.uint64(7)
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
@@ -49,6 +53,11 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(ALNUM_WORDS).split()
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes that are the same in every process."""
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
 def _rolled(hashes: np.ndarray, length: int) -> np.ndarray:
     """A hash for each window of so many words."""
     n = len(hashes) - length + 1
@@ -58,28 +67,62 @@ def _rolled(hashes: np.ndarray, length: int) -> np.ndarray:
     for j in range(1, length):
         rolled *= _FACTOR
         rolled += hashes[j : n + j]
-    return rolled
-
-
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    for _ in range(2):
+        rolled ^= rolled >> _HALF
+        rolled *= _SPREAD
+    return rolled ^ rolled >> _HALF
+
+
+class Windows:
+    """All windows of one length: hashes in order, where their words stand, and their items."""
+
+    def __init__(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, items: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.starts, self.ends, self.items = (x[order].astype(np.int32) for x in (starts, ends, items))
+        bits = max(10, int(BITS * len(hashes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits - 3, np.uint8)
+        place = hashes >> self.shift
+        np.bitwise_or.at(self.table, (place >> _BYTE).astype(np.int64), np.uint8(1) << (place & _LOW).astype(np.uint8))
+
+    def candidates(self, rolled: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Places of hashes that are there, with the range of the windows that have them."""
+        place = rolled >> self.shift
+        set_bits = self.table[(place >> _BYTE).astype(np.int64)] >> (place & _LOW).astype(np.uint8) & 1
+        at = np.flatnonzero(set_bits)
+        low = np.searchsorted(self.hashes, rolled[at], "left")
+        high = np.searchsorted(self.hashes, rolled[at], "right")
+        there = high > low
+        yield from zip(at[there].tolist(), low[there].tolist(), high[there].tolist(), strict=True)
 
 
 class WindowIndex:
-    """The windows of some items: by length a bit table of their hashes, and all by their words."""
+    """The windows of some items by length, and the items' words as one text."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
-        self.items: dict[bytes, set[str]] = {}
-        self.tables: dict[int, np.ndarray] = {}
-        for item_id, text in items:
-            words = words_of(text)
-            length = min(window, len(words))
+        self.names = [item_id for item_id, _ in items]
+        split = [words_of(text) for _, text in items]
+        words = [word for part in split for word in part]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        first = np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(split)), counts)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        self.text = b" ".join(words)
+        place = np.cumsum(lengths + 1) - lengths - 1
+        hashes = _hashes(words)
+        self.windows: dict[int, Windows] = {}
+        for length in np.unique(np.minimum(counts, window)).tolist():
             if not length:
                 continue
-            for i in range(len(words) - length + 1):
-                self.items.setdefault(b" ".join(words[i : i + length]), set()).add(item_id)
-            table = self.tables.setdefault(length, np.zeros(1 << TABLE_BITS, bool))
-            table[_rolled(_hashes(words), length) >> np.uint64(64 - TABLE_BITS)] = True
+            if length < window:  # an item that is one window
+                at = first[counts == length]
+            else:
+                at = np.arange(max(0, len(words) - length + 1))
+                at = at[owner[at] == owner[at + length - 1]]
+            last = at + length - 1
+            ends = place[last] + lengths[last]
+            self.windows[length] = Windows(_rolled(hashes, length)[at], place[at], ends, owner[at])
 
     def scan(self, texts: list[bytes], before: list) -> tuple[np.ndarray, list, list]:
         """For each text its number of words, its merged hit spans and the items that hit it."""
@@ -90,15 +133,21 @@ class WindowIndex:
         hashes = _hashes(words)
         cover = np.zeros(len(words) + 1, np.int32)
         items: dict[int, set[str]] = {}
-        for length, table in self.tables.items():
-            for at in np.flatnonzero(table[_rolled(hashes, length) >> np.uint64(64 - TABLE_BITS)]):
-                found = self.items.get(b" ".join(words[at : at + length]))
+        for length, windows in self.windows.items():
+            for at, low, high in windows.candidates(_rolled(hashes, length)):
+                doc = int(np.searchsorted(ends, at, "right"))
+                if at + length > ends[doc]:
+                    continue
+                said = b" ".join(words[at : at + length])
+                found = {
+                    self.names[windows.items[k]]
+                    for k in range(low, high)
+                    if self.text[windows.starts[k] : windows.ends[k]] == said
+                }
                 if found:
-                    doc = int(np.searchsorted(ends, at, "right"))
-                    if at + length <= ends[doc]:
-                        cover[at] += 1
-                        cover[at + length] -= 1
-                        items.setdefault(doc, set()).update(found)
+                    cover[at] += 1
+                    cover[at + length] -= 1
+                    items.setdefault(doc, set()).update(found)
         spans = []
         for doc, (old_spans, _) in enumerate(before):
             for span in old_spans or []:
@@ -121,17 +170,6 @@ class WindowIndex:
         return counts, spans, all_items
 
 
-# The index of the block at hand, kept by a Python worker between its tasks.
-_CACHE: dict[str, WindowIndex] = {}
-
-
-def _index(block: str, shared, window: int) -> WindowIndex:
-    if block not in _CACHE:
-        _CACHE.clear()
-        _CACHE[block] = WindowIndex(shared.value, window)
-    return _CACHE[block]
-
-
 def find_hits(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -157,11 +195,10 @@ def find_hits(
     kept = None if keep is None else [*keep, *([text] if blocks > 1 else [])]
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block)
-        shared = spark.sparkContext.broadcast(
-            [(row[0], row[1].encode()) for row in part.collect()]
-        )
+        index = WindowIndex([(row[0], row[1].encode()) for row in part.collect()], window)
+        shared = spark.sparkContext.broadcast(index)
         found = append(
-            found, [text, "hit_spans", "hit_items"], _scanner(shared, window), FOUND, keep=kept
+            found, [text, "hit_spans", "hit_items"], _scanner(shared), FOUND, keep=kept
         )
         if block + 1 < blocks:
             found = written(found, "decontaminate")
@@ -177,13 +214,10 @@ def _arrays(counts: np.ndarray, spans: list, items: list) -> list[pa.Array]:
     ]
 
 
-def _scanner(shared, window: int):
-    block = uuid.uuid4().hex
-
+def _scanner(shared):
     def compute(texts: pa.Array, spans: pa.Array, items: pa.Array) -> list[pa.Array]:
-        index = _index(block, shared, window)
         before = list(zip(spans.to_pylist(), items.to_pylist(), strict=True))
-        counts, hit, by = index.scan(as_bytes(texts), before)
+        counts, hit, by = shared.value.scan(as_bytes(texts), before)
         return _arrays(counts, hit, by)
 
     return compute

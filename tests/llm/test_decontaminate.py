@@ -1,6 +1,9 @@
 import hashlib
+import pickle
 import re
+import time
 
+import numpy as np
 import pytest
 from cabrank.llm import decontaminate, queries
 from conftest import TESTDATA
@@ -91,3 +94,30 @@ def test_empty_tables(spark, odd):
     assert decontaminate.find_hits(empty(spark), items).count() == 0
     none = items.limit(0)
     assert decontaminate.decontaminate(awkward(spark), none).count() == 13
+
+
+def test_a_full_block_is_compact(spark):
+    """Windows of 16 MB of items: built once, loaded by workers as arrays, few false lookups."""
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{i:05d}" for i in range(50_000)]
+    items = [(str(i), " ".join(vocabulary[j] for j in rng.integers(0, 50_000, 2000)).encode()) for i in range(1200)]
+    index = decontaminate.WindowIndex(items, 10)
+    data = pickle.dumps(index)
+    assert sum(len(t) for _, t in items) > 16e6 and len(data) < 200e6
+    start = time.process_time()
+    loaded = pickle.loads(data)
+    assert time.process_time() - start < 3
+    windows = loaded.windows[10]
+    assert len(windows.hashes) == 1200 * 1991
+    assert np.unpackbits(windows.table).mean() < 0.07
+    foreign = " ".join(vocabulary[j] for j in rng.integers(0, 50_000, 200_000)).encode()
+    assert list(windows.candidates(decontaminate._rolled(decontaminate._hashes(decontaminate.words_of(foreign)), 10))) == []
+    own = b" ".join([b"before", *decontaminate.words_of(items[7][1])[100:130], b"after"])
+    assert loaded.scan([own], [([], [])])[1:] == ([[{"start": 1, "end": 31}]], [["7"]])
+
+
+def test_equal_hashes_are_told_apart_by_their_words(monkeypatch):
+    monkeypatch.setattr(decontaminate, "_hashes", lambda words: np.full(len(words), 7, np.uint64))
+    index = decontaminate.WindowIndex([("a", b"one two three"), ("b", b"four five six"), ("c", b"one two three")], 3)
+    _, spans, items = index.scan([b"x one two three y", b"four five seven six"], [([], []), ([], [])])
+    assert spans == [[{"start": 1, "end": 4}], []] and items == [["a", "c"], []]
