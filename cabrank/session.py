@@ -73,11 +73,12 @@ def workspace(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     A local master without the setting gets a temporary folder of its own. A cluster without it,
-    or with a ``file:`` path, is an error, because executors cannot see one another's local disks.
+    or with a path on ``file:``, by its own scheme or by that of ``fs.defaultFS``, is an error,
+    because executors cannot see one another's local disks.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     cluster = not spark.conf.get("spark.master", "").startswith("local")
-    if cluster and (not shared or shared.startswith("file:")):
+    if cluster and (not shared or shared.startswith("file:") or _local_by_default(spark, shared)):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if shared:
         return shared.rstrip("/")
@@ -87,6 +88,13 @@ def workspace(spark: SparkSession) -> str:
     return _local_dirs[app].name
 
 
+def _local_by_default(spark: SparkSession, path: str) -> bool:
+    """Whether a path without a scheme lies on local disks."""
+    if ":" in path.partition("/")[0]:
+        return False
+    return spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path under the workspace that nothing has been written to yet."""
     return f"{workspace(spark)}/cabrank/{label}-{uuid.uuid4().hex[:12]}"

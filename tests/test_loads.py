@@ -587,6 +587,24 @@ def test_cluster_without_shared_folder_is_an_error():
         workspace(Session())
 
 
+@pytest.mark.parametrize("default, fails", [("file:///", True), ("hdfs://name", False)])
+def test_cluster_folder_without_a_scheme_follows_the_default_store(default, fails):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "yarn", "spark.checkpoint.dir": "/shared"}[key])
+
+        class _jsc:
+            @staticmethod
+            def hadoopConfiguration():
+                return {"fs.defaultFS": default}
+
+    if fails:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            workspace(Session())
+    else:
+        assert workspace(Session()) == "/shared"
+
+
 def test_splits_and_partitions_grow_with_the_input():
     assert shuffle_partitions(1) == 8
     assert shuffle_partitions(1024**4) == 8192
