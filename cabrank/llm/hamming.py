@@ -19,8 +19,14 @@ one key) only links that can join components matter:
    all that share nodes, and their nodes compared in tiles, which return links only.
 
 A candidate pair is confirmed on the full sets. What is left out are pairs already known to be in
-one component. So the rows that are made grow with the nodes, not with the square of a group's
-size, a task holds the sets of two blocks of nodes at most, and no link between components is lost.
+one component, and candidates at a signature distance beyond ``MAX_DISTANCE``, which a pair of
+similarity 0.8 exceeds with a probability below 1e-9. Up to this and the candidates' own chance of
+3e-6, no link between components is lost.
+
+The rows that are made grow with the nodes but for families of large mixed buckets: a family of n
+nodes is compared in tiles of two blocks of ``BLOCK``, and each node is sent, with its set, to one
+tile for each block, n * n / ``BLOCK`` rows in all. A tile holds the sets of two blocks; they are
+bounded by number, not by the length of the texts.
 
 Lists of keys and nodes are broadcast as arrays up to ``BROADCAST`` entries of 8 or 16 bytes, and
 joined by shuffles beyond that.

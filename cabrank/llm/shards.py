@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cabrank.llm.arrow import put, written
@@ -135,5 +135,12 @@ def assign(
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:
-    """Write rows with their shard and slot as one directory per shard; AQE splits the files."""
-    assigned.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    """Write rows with their shard and slot as one directory per shard; AQE splits the files.
+
+    Without rows there is no directory, but one empty file that keeps the columns.
+    """
+    seen = Observation()
+    rows = assigned.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    if not seen.get["rows"]:
+        assigned.limit(0).write.mode("overwrite").parquet(path)

@@ -52,6 +52,7 @@ def test_awkward_rows_and_all_ways_of_reading(spark, tokenizer, tmp_path):
 def test_empty_table(spark, tmp_path):
     index = records.write_records(empty(spark), f"{tmp_path}/r", PATH)
     assert records.with_starts(records.read_files(index, f"{tmp_path}/r"), index).count() == 0
+    assert records.read_shuffled(index, f"{tmp_path}/r", 7).count() == 0
     assert queries.op3_length_delimited_records(spark, save(empty(spark), tmp_path)).count() == 0
 
 

@@ -78,3 +78,14 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
     out = shards.assign(awkward(spark), "doc_id", 24, ["doc_id", "text"])
     shards.write_shards(out, f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out").count() == 12
+
+
+def test_written_shards_are_read_back_also_without_rows(spark, tmp_path):
+    for df in (awkward(spark), empty(spark)):
+        placed = shards.assign(df, "doc_id", 24, ["doc_id", "text"])
+        shards.write_shards(placed, f"{tmp_path}/shards")
+        back = spark.read.parquet(f"{tmp_path}/shards")
+        assert set(back.columns) == set(placed.columns)
+        order = [c for c in placed.columns if c != "shard"]
+        same = lambda d: sorted(map(repr, map(tuple, d.select("shard", *order).collect())))
+        assert same(back) == same(placed)
