@@ -66,7 +66,7 @@ def test_awkward_rows_and_clashing_names(spark, tmp_path):
     df = awkward(spark, ("Shard", "slot", "region", "bucket"))
     out = shards.assign(df, "doc_id", 24, ["doc_id", "text"])
     rows = out.collect()
-    assert len(rows) == 12 and gapless(rows)
+    assert len(rows) == 13 and gapless(rows)
     assert sorted(c.lower() for c in out.columns).count("shard") == 1
     assert len({r["shard"] for r in rows if r["doc_id"] is None}) == 1
     assert shards.assign(empty(spark), "doc_id", 24, ["doc_id"]).count() == 0
