@@ -51,7 +51,7 @@ def _store(database: str) -> str:
 
 @contextmanager
 def new_version(spark: SparkSession, table: str) -> Iterator[Version]:
-    """A version to write; if that fails, nothing of it is left."""
+    """A version to write; if that fails before the table points at it, nothing of it is left."""
     database, name = _split(spark, table)
     folder = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_store(database)} LOCATION '{folder}/__versions'")
@@ -60,7 +60,8 @@ def new_version(spark: SparkSession, table: str) -> Iterator[Version]:
     try:
         yield version
     except BaseException:
-        discard(spark, version)
+        if current(spark, table) != version.name:
+            discard(spark, version)
         raise
 
 

@@ -115,6 +115,21 @@ def test_a_crash_between_any_two_steps_leaves_old_or_new(spark, name, monkeypatc
     assert len(folders(spark, name)) == 2 and on_disk(spark, name) == folders(spark, name)
 
 
+def test_an_error_after_the_switch_leaves_the_new_rows(spark, name, monkeypatch):
+    def fail(*args):
+        raise OSError("no leave to delete")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "collect", fail)
+        with pytest.raises(OSError):
+            tables.replace_table(spark.range(10, 12), name)
+        with pytest.raises(OSError):
+            tables.load_table(spark, [spark.range(20, 23)], name)
+    assert ids(spark.table(name)) == [20, 21, 22]
+    tables.replace_table(spark.range(30, 31), name)
+    assert ids(spark.table(name)) == [30] and on_disk(spark, name) == folders(spark, name)
+
+
 def test_a_folder_without_a_table_is_collected_when_old(spark, name):
     root = spark.catalog.getDatabase(name.partition(".")[0]).locationUri + "/__versions"
     old, young = "t__20200101000000_dead", f"t__{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}_live"
