@@ -18,6 +18,7 @@ NAMES = [
     "trips_for_bases_cost",
     "trips_in_range_partitioned",
     "append_key_guard",
+    "clustered_base_scan",
 ]
 
 
