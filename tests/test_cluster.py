@@ -19,6 +19,7 @@ NAMES = [
     "trips_in_range_partitioned",
     "append_key_guard",
     "clustered_base_scan",
+    "clustered_layout",
 ]
 
 
