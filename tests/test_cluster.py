@@ -21,6 +21,7 @@ NAMES = [
     "clustered_base_scan",
     "clustered_layout",
     "convert_csv_parquet",
+    "ctas_partitioned",
 ]
 
 
