@@ -22,6 +22,7 @@ NAMES = [
     "clustered_layout",
     "convert_csv_parquet",
     "ctas_partitioned",
+    "ctas_partitioned_except",
 ]
 
 
