@@ -23,6 +23,7 @@ NAMES = [
     "convert_csv_parquet",
     "ctas_partitioned",
     "ctas_partitioned_except",
+    "external_table_glob",
 ]
 
 
