@@ -24,6 +24,7 @@ NAMES = [
     "ctas_partitioned",
     "ctas_partitioned_except",
     "external_table_glob",
+    "external_table_single",
 ]
 
 
