@@ -25,6 +25,7 @@ NAMES = [
     "ctas_partitioned_except",
     "external_table_glob",
     "external_table_single",
+    "land_raw",
 ]
 
 
