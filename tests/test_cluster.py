@@ -26,6 +26,7 @@ NAMES = [
     "external_table_glob",
     "external_table_single",
     "land_raw",
+    "load_quarantine",
 ]
 
 
