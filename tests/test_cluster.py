@@ -27,6 +27,7 @@ NAMES = [
     "external_table_single",
     "land_raw",
     "load_quarantine",
+    "load_ledger",
 ]
 
 
