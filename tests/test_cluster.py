@@ -28,6 +28,7 @@ NAMES = [
     "land_raw",
     "load_quarantine",
     "load_ledger",
+    "monthly_backfill",
 ]
 
 
