@@ -29,6 +29,7 @@ NAMES = [
     "load_quarantine",
     "load_ledger",
     "monthly_backfill",
+    "load_row_count",
 ]
 
 
