@@ -30,6 +30,7 @@ NAMES = [
     "load_ledger",
     "monthly_backfill",
     "load_row_count",
+    "monthly_landing_stream",
 ]
 
 
