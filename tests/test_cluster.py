@@ -31,6 +31,7 @@ NAMES = [
     "monthly_backfill",
     "load_row_count",
     "monthly_landing_stream",
+    "monthly_source_paths",
 ]
 
 
