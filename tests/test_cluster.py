@@ -32,6 +32,7 @@ NAMES = [
     "load_row_count",
     "monthly_landing_stream",
     "monthly_source_paths",
+    "registry_fanout",
 ]
 
 
