@@ -34,6 +34,7 @@ NAMES = [
     "monthly_source_paths",
     "registry_fanout",
     "relayout_by_dataset",
+    "row_ordinal",
 ]
 
 
