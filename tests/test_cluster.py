@@ -36,6 +36,7 @@ NAMES = [
     "relayout_by_dataset",
     "row_ordinal",
     "row_ordinal_source",
+    "scan_csv_chunked",
 ]
 
 
