@@ -37,6 +37,7 @@ NAMES = [
     "row_ordinal",
     "row_ordinal_source",
     "scan_csv_chunked",
+    "scan_csv_inferred",
 ]
 
 
