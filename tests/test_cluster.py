@@ -38,6 +38,7 @@ NAMES = [
     "row_ordinal_source",
     "scan_csv_chunked",
     "scan_csv_inferred",
+    "scan_csv_typed",
 ]
 
 
