@@ -39,6 +39,7 @@ NAMES = [
     "scan_csv_chunked",
     "scan_csv_inferred",
     "scan_csv_typed",
+    "scan_table",
 ]
 
 
