@@ -40,6 +40,7 @@ NAMES = [
     "scan_csv_inferred",
     "scan_csv_typed",
     "scan_table",
+    "sink_create_empty",
 ]
 
 
