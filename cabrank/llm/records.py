@@ -43,10 +43,12 @@ from pyspark.sql import types as T
 
 from cabrank.llm.arrow import slices
 from cabrank.llm.bpe import byte_letters
-from cabrank.llm.units import UnitTable
+from cabrank.llm.units import LONGEST_KEPT, UnitTable
 from cabrank.sources.files import arrow_store
 
 END_ID = 2
+# Words whose ids a worker keeps: units that differ in the point behind share them.
+TABLE_WORDS = 300_000
 MASK_DELTA = 0xA282EAD8
 INDEX = T.StructType(
     [
@@ -118,17 +120,23 @@ class LibraryUnits:
         self.letter = {byte: letter for letter, byte in byte_letters().items()}
         self.after = {"": b""} | {c: self.whole([c])[0] for c in ".,\n"}
         self.blank = self.letter[32]
+        self.words: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return whole_ids(self.tokenizer, texts)
 
     def word(self, word: str) -> bytes:
-        if word.isascii():
-            word = word.replace(" ", self.blank)
-        else:
-            word = "".join(map(self.letter.__getitem__, word.encode()))
-        ids = [token.id for token in self.model.tokenize(word)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        found = self.words.get(word)
+        if found is None:
+            if word.isascii():
+                letters = word.replace(" ", self.blank)
+            else:
+                letters = "".join(map(self.letter.__getitem__, word.encode()))
+            ids = [token.id for token in self.model.tokenize(letters)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.words) < TABLE_WORDS and len(word) <= LONGEST_KEPT:
+                self.words[word] = found
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         done: list[bytes | None] = []
@@ -227,7 +235,7 @@ def write_records(
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (part for batch in batches for part in slices(batch, 1))
+        rows = (part for batch in batches for part in slices(batch, 1, _BATCH_BYTES))
         yield from _write_file(rows, path, library_table(tokenizer_path), end)
 
     index = ordered.select("doc_id", "text").mapInArrow(write, INDEX)

@@ -1,10 +1,12 @@
 import json
+import random
 import struct
 import zlib
 
 import public_tokenizers
 import pytest
 from cabrank.llm import queries, records
+from cabrank.llm.units import UnitTable
 from conftest import TESTDATA
 from frames import awkward, empty, save
 from tokenizers import Tokenizer
@@ -114,3 +116,49 @@ def test_other_tokenizers_take_whole_texts(spark, tmp_path):
 def test_a_folder_that_tasks_cannot_write_to_fails_early(spark):
     with pytest.raises(ValueError, match="unknown"):
         records.write_records(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "unknown://store/r", PATH)
+
+
+class Counting(dict):
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return dict.get(self, key, default)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return dict.__getitem__(self, key)
+
+
+def test_units_and_words_are_looked_up_once_a_call(tokenizer):
+    table = UnitTable(records.LibraryUnits(tokenizer))
+    table.after_blank = Counting()
+    texts = ["a" + " river, and" * 1000, "a" + " river. river" * 1000]
+    assert table.ids(texts) == records.whole_ids(tokenizer, texts)
+    assert table.after_blank.asked < 10  # 4,000 units
+
+    library, asked = tokenizer.model, []
+
+    class Model:
+        def tokenize(self, word):
+            asked.append(word)
+            return library.tokenize(word)
+
+    units = records.LibraryUnits(tokenizer)
+    units.model = Model()
+    forms = [" river", " river,", " river.", " river.\nriver", " river\nriver,"]
+    assert units(forms) == records.whole_ids(tokenizer, forms)
+    assert len(asked) == 2  # with and without the blank
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1000])
+def test_units_of_texts_with_odd_blanks(tokenizer, limit):
+    pieces = ["a", "bé", "中", "x.", "y,\nz", "\n", "\t", "", "", " ", "　w", "don't", "9", "é" * 70, "<|endoftext|>", "\r\n"]
+    draw = random.Random(5)
+    texts = [" ".join(draw.choices(pieces, k=draw.randrange(9))) for _ in range(600)]
+    table = UnitTable(records.LibraryUnits(tokenizer), limit)
+    for at in (0, 200, 400):
+        batch = texts[at : at + 200]
+        assert table.ids(batch) == records.whole_ids(tokenizer, batch)
+        assert len(table.after_blank) <= limit
+    assert table.ids([]) == [] and table.ids([""]) == [b""]
